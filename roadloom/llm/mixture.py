@@ -7,7 +7,7 @@ the size of one document.
 
 Within a source all complete epochs come first (every document once per epoch); the rest is an Efraimidis-Spirakis sample:
 documents in order of -ln(u)/w, w their quality weight and u a hash of their id, taken while the running sum of tokens
-stays within the rest.  The running sum never gathers a source in one task: a histogram over the key decides every bin but
+stays within the rest; the document in which the rest ends is taken if more than half of it fits.  The running sum never gathers a source in one task: a histogram over the key decides every bin but
 the one in which the budget ends, and only that bin is sorted.
 """
 
@@ -23,16 +23,11 @@ BINS = 4096
 FULL_WEIGHT_TOKENS = 64
 
 
-def quality_weight(text, n_tokens):
-    """In (0, 1]: the share of letters and combining marks in the text, damped for very short texts."""
-    letters = F.length(F.regexp_replace(text, r"[^\p{L}\p{M}]", "")) / F.greatest(F.length(text), F.lit(1))
-    return F.greatest(F.lit(0.05), letters * F.least(F.lit(1.0), n_tokens / F.lit(float(FULL_WEIGHT_TOKENS))))
-
-
 def sizes(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """(doc_id, source, n_tokens, key): the size of each document and its sampling key; null text has size 0."""
     d = docs.select("doc_id", "source", "text", F.length(F.regexp_replace("text", r"[^\p{L}\p{M}]", "")).alias("_l"), F.length("text").alias("_c"))
     counted = encode(d.select(F.struct("doc_id", "source", "_l", "_c").alias("k"), "text"), "k", "text", vocabulary, counts_only=True)
+    # quality weight in (0, 1]: the share of letters and combining marks, damped for very short texts
     w = F.greatest(F.lit(0.05), F.coalesce(F.col("k._l") / F.greatest(F.col("k._c"), F.lit(1)), F.lit(0.0)) * F.least(F.lit(1.0), F.col("n_tokens") / F.lit(float(FULL_WEIGHT_TOKENS))))
     u = (F.shiftrightunsigned(F.xxhash64(F.lit("mixture"), F.col("k.doc_id")), 11).cast("double") + 0.5) / F.lit(float(1 << 53))
     return counted.select("k.doc_id", "k.source", "n_tokens", (-F.log(u) / w).alias("key"))
@@ -86,7 +81,7 @@ def mix(docs: DataFrame, target: DataFrame, total_tokens: int | None = None, voc
     edge = s.where(F.col("inside").isNull())
     run = F.sum("n_tokens").over(Window.partitionBy("source", "bin").orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, 0))
     edge = edge.withColumn("_run", F.col("below") + run)
-    edge = edge.select("doc_id", "source", "n_tokens", (F.col("epochs") + F.when(F.col("_run") <= F.col("rest"), 1).otherwise(0)).alias("copies"))
+    edge = edge.select("doc_id", "source", "n_tokens", (F.col("epochs") + F.when(F.col("_run") - F.col("n_tokens") / 2 <= F.col("rest"), 1).otherwise(0)).alias("copies"))
     return sure.unionByName(edge).where(F.col("copies") > 0), b
 
 

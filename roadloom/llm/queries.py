@@ -3,9 +3,24 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..runtime import table
-from . import mixture, tokens
+from . import mixture, repeated_lines, tokens
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    found, _ = repeated_lines.repeated(table(spark, d, "source_article"))
+    return found.select(F.col("id").alias("article_id"), "line_no")
+
+
+def p4_blocks(spark: SparkSession, d: str) -> DataFrame:
+    _, b = repeated_lines.repeated(table(spark, d, "source_article"))
+    return b.groupBy(F.col("src").alias("outlet_name"), "block").agg(F.count(F.lit(1)).alias("n_lines"), F.max("support").alias("top_support"))
+
+
+def p4_clean(spark: SparkSession, d: str) -> DataFrame:
+    return repeated_lines.without_repeated(table(spark, d, "source_article"))
 
 
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
@@ -20,5 +35,5 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixture.report(table(spark, d, "documents"), table(spark, d, "source_target"))
 
 
-QUERIES = {"p8_ids": p8_ids, "p9_mixture": p9_mixture, "p9_shares": p9_shares}
+QUERIES = {"p4_found": p4_found, "p4_blocks": p4_blocks, "p4_clean": p4_clean, "p8_ids": p8_ids, "p9_mixture": p9_mixture, "p9_shares": p9_shares}
 SQL: dict[str, str] = {}
