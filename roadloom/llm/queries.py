@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import table
-from . import mixture, repeated_lines, tokens
+from . import mixture, repeated_lines, residue, tokens
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
@@ -23,6 +23,14 @@ def p4_clean(spark: SparkSession, d: str) -> DataFrame:
     return repeated_lines.without_repeated(table(spark, d, "source_article"))
 
 
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return residue.scan(table(spark, d, "source_article")).where("residue").select(F.col("id").alias("article_id")).distinct()
+
+
+def p7_scores(spark: SparkSession, d: str) -> DataFrame:
+    return residue.scan(table(spark, d, "source_article")).withColumn("coverage", F.round("coverage", 6))
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokens.encode(table(spark, d, "documents"))
 
@@ -35,5 +43,5 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixture.report(table(spark, d, "documents"), table(spark, d, "source_target"))
 
 
-QUERIES = {"p4_found": p4_found, "p4_blocks": p4_blocks, "p4_clean": p4_clean, "p8_ids": p8_ids, "p9_mixture": p9_mixture, "p9_shares": p9_shares}
+QUERIES = {"p4_found": p4_found, "p4_blocks": p4_blocks, "p4_clean": p4_clean, "p7_found": p7_found, "p7_scores": p7_scores, "p8_ids": p8_ids, "p9_mixture": p9_mixture, "p9_shares": p9_shares}
 SQL: dict[str, str] = {}
