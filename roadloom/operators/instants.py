@@ -20,16 +20,20 @@ def _outlets(outlet: DataFrame, key: str, as_: str) -> DataFrame:
     return o.where(F.col(as_).isNotNull()).groupBy(as_).agg(F.min(F.struct("_tz", "_dmy")).alias("_o"))
 
 
-def article_instants(article: DataFrame, outlet: DataFrame) -> DataFrame:
-    """(id, utc_us) of every article, utc_us null where published_at tells no instant.
+def with_article_instant(article: DataFrame, outlet: DataFrame) -> DataFrame:
+    """article with utc_us, null where published_at tells no instant.
 
     Nulls: a null outlet_name, or one without an outlet row, is read as Asia/Kolkata and DMY.
     The outlet side is joined without a hint: Spark broadcasts it only while its size is under the threshold.
     """
-    a = article.select("id", "published_at", "outlet_name")
-    o = _outlets(outlet, "name", "outlet_name")
-    j = a.join(o, "outlet_name", "left")
-    return with_utc_micros(j, F.col("published_at"), F.coalesce("_o._tz", F.lit(DEFAULT_ZONE)), F.coalesce("_o._dmy", F.lit(True))).select("id", "utc_us")
+    j = article.join(_outlets(outlet, "name", "outlet_name"), "outlet_name", "left")
+    j = with_utc_micros(j, F.col("published_at"), F.coalesce("_o._tz", F.lit(DEFAULT_ZONE)), F.coalesce("_o._dmy", F.lit(True)))
+    return j.select(*article.columns, "utc_us")
+
+
+def article_instants(article: DataFrame, outlet: DataFrame) -> DataFrame:
+    """(id, utc_us) of every article."""
+    return with_article_instant(article.select("id", "published_at", "outlet_name"), outlet).select("id", "utc_us")
 
 
 def feed_instants(feed: DataFrame, outlet: DataFrame) -> DataFrame:
