@@ -98,32 +98,32 @@ def with_utc_micros(df: DataFrame, value: Column, default_zone: Column, day_firs
     the year is day-month-year.  The steps are separate projections so that each pattern runs once a value.
     """
     keep = df.columns
-    v = F.col("_v")
-    df = df.select("*", F.trim(F.regexp_replace(ascii_digits(value), r"[\s  -‏  　﻿]+", " ")).alias("_v"), default_zone.alias("_z"), day_first.alias("_df"))
+    v = F.col("_ts_v")
+    df = df.select("*", F.trim(F.regexp_replace(ascii_digits(value), r"[\s  -‏  　﻿]+", " ")).alias("_ts_v"), default_zone.alias("_ts_z"), day_first.alias("_ts_df"))
     parts = F.when(v.rlike(r"^\d{10}(\d{3})?$"), F.array(F.lit("epoch"), v))
     for name, pat, order in SHAPES:
         groups = [f"${g}" for g in order] + [f"${g}" for g in range(4, 10)]
         parts = parts.when(v.rlike(pat), F.split(F.regexp_replace(v, pat, _SEP.join([name, *groups])), _SEP, -1))
-    df = df.withColumn("_p", parts)
-    p = [F.get("_p", F.lit(i)) for i in range(10)]
-    swap = (p[0] == "numeric") & ~F.col("_df")
+    df = df.withColumn("_ts_p", parts)
+    p = [F.get("_ts_p", F.lit(i)) for i in range(10)]
+    swap = (p[0] == "numeric") & ~F.col("_ts_df")
     year = _int(p[1])
     df = df.select(
         *df.columns,
-        (year + F.when(F.length(p[1]) == 2, F.when(year < 50, 2000).otherwise(1900)).otherwise(0)).alias("_y"),
-        F.when(swap, p[3]).otherwise(p[2]).alias("_mo"),
-        F.when(swap, p[2]).otherwise(p[3]).alias("_d"),
-        *[F.coalesce(_int(x), F.lit(0)).alias(n) for x, n in zip(p[4:7], ("_h", "_mi", "_s"))],
-        F.coalesce(F.rpad(F.left(p[7], F.lit(6)), 6, "0").try_cast("bigint"), F.lit(0)).alias("_us"),
-        F.lower(p[8]).alias("_half"),
-        p[9].alias("_zone"),
+        (year + F.when(F.length(p[1]) == 2, F.when(year < 50, 2000).otherwise(1900)).otherwise(0)).alias("_ts_y"),
+        F.when(swap, p[3]).otherwise(p[2]).alias("_ts_mo"),
+        F.when(swap, p[2]).otherwise(p[3]).alias("_ts_d"),
+        *[F.coalesce(_int(x), F.lit(0)).alias(n) for x, n in zip(p[4:7], ("_ts_h", "_ts_mi", "_ts_s"))],
+        F.coalesce(F.rpad(F.left(p[7], F.lit(6)), 6, "0").try_cast("bigint"), F.lit(0)).alias("_ts_us"),
+        F.lower(p[8]).alias("_ts_half"),
+        p[9].alias("_ts_zone"),
     )
-    h = F.when(F.col("_half") == "", F.col("_h")).when(F.col("_h").between(1, 12), F.col("_h") % 12 + F.when(F.col("_half") == "p", 12).otherwise(0))
-    df = df.select(*df.columns, F.coalesce(_int(F.col("_mo")), _month(F.col("_mo"))).alias("_mon"), _int(F.col("_d")).alias("_day"), h.alias("_hour"), _zone_minutes(F.col("_zone")).alias("_off"))
-    ok = F.col("_hour").between(0, 23) & F.col("_mi").between(0, 59) & F.col("_s").between(0, 59) & F.col("_y").between(1, 9999)
-    zoned = F.col("_zone") != ""
-    base = F.try_make_timestamp_ltz(F.col("_y"), F.col("_mon"), F.col("_day"), F.col("_hour"), F.col("_mi"), F.col("_s").cast("decimal(16,6)"), F.when(zoned, F.lit("UTC")).otherwise(F.col("_z")))
-    instant = F.unix_micros(base) + F.col("_us") - F.when(zoned, F.col("_off").cast("bigint") * 60000000).otherwise(F.lit(0))
+    h = F.when(F.col("_ts_half") == "", F.col("_ts_h")).when(F.col("_ts_h").between(1, 12), F.col("_ts_h") % 12 + F.when(F.col("_ts_half") == "p", 12).otherwise(0))
+    df = df.select(*df.columns, F.coalesce(_int(F.col("_ts_mo")), _month(F.col("_ts_mo"))).alias("_ts_mon"), _int(F.col("_ts_d")).alias("_ts_day"), h.alias("_ts_hour"), _zone_minutes(F.col("_ts_zone")).alias("_ts_off"))
+    ok = F.col("_ts_hour").between(0, 23) & F.col("_ts_mi").between(0, 59) & F.col("_ts_s").between(0, 59) & F.col("_ts_y").between(1, 9999)
+    zoned = F.col("_ts_zone") != ""
+    base = F.try_make_timestamp_ltz(F.col("_ts_y"), F.col("_ts_mon"), F.col("_ts_day"), F.col("_ts_hour"), F.col("_ts_mi"), F.col("_ts_s").cast("decimal(16,6)"), F.when(zoned, F.lit("UTC")).otherwise(F.col("_ts_z")))
+    instant = F.unix_micros(base) + F.col("_ts_us") - F.when(zoned, F.col("_ts_off").cast("bigint") * 60000000).otherwise(F.lit(0))
     epoch = p[1].try_cast("bigint") * F.when(F.length(p[1]) == 10, 1000000).otherwise(1000)
     # spark_partition_id(), being non-deterministic, keeps a later filter on the result from being pushed down and the whole cascade from being repeated in it
     once = F.spark_partition_id() >= 0

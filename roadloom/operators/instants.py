@@ -17,7 +17,7 @@ def domain(c):
 
 def _outlets(outlet: DataFrame, key: str, as_: str) -> DataFrame:
     o = outlet.select(F.col(key).alias(as_), F.col("tz").alias("_tz"), (F.upper("date_order") != "MDY").alias("_dmy"))
-    return o.where(F.col(as_).isNotNull()).groupBy(as_).agg(F.min(F.struct("_tz", "_dmy")).alias("_o"))
+    return o.where(F.col(as_).isNotNull()).groupBy(as_).agg(F.min(F.struct("_tz", "_dmy")).alias("_outlet"))
 
 
 def with_article_instant(article: DataFrame, outlet: DataFrame) -> DataFrame:
@@ -27,7 +27,7 @@ def with_article_instant(article: DataFrame, outlet: DataFrame) -> DataFrame:
     The outlet side is joined without a hint: Spark broadcasts it only while its size is under the threshold.
     """
     j = article.join(_outlets(outlet, "name", "outlet_name"), "outlet_name", "left")
-    j = with_utc_micros(j, F.col("published_at"), F.coalesce("_o._tz", F.lit(DEFAULT_ZONE)), F.coalesce("_o._dmy", F.lit(True)))
+    j = with_utc_micros(j, F.col("published_at"), F.coalesce("_outlet._tz", F.lit(DEFAULT_ZONE)), F.coalesce("_outlet._dmy", F.lit(True)))
     return j.select(*article.columns, "utc_us")
 
 
@@ -40,9 +40,9 @@ def feed_instants(feed: DataFrame, outlet: DataFrame) -> DataFrame:
     """(item_id, utc_us); the outlet is found by source_domain, or by source_name where there is no domain."""
     f = feed.select("item_id", "published_at", F.nullif(domain("source_domain"), F.lit("")).alias("_dom"), "source_name")
     by_site = _outlets(outlet.withColumn("website", domain("website")), "website", "_dom")
-    by_name = _outlets(outlet, "name", "source_name").withColumnRenamed("_o", "_n")
+    by_name = _outlets(outlet, "name", "source_name").withColumnRenamed("_outlet", "_named")
     j = f.join(by_site, "_dom", "left").join(by_name, "source_name", "left")
-    o = F.coalesce("_o", F.when(F.col("_dom").isNull(), F.col("_n")))
+    o = F.coalesce("_outlet", F.when(F.col("_dom").isNull(), F.col("_named")))
     return with_utc_micros(j, F.col("published_at"), F.coalesce(o["_tz"], F.lit(DEFAULT_ZONE)), F.coalesce(o["_dmy"], F.lit(True))).select("item_id", "utc_us")
 
 
