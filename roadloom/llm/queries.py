@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import table
-from . import mixture, repeated_lines, residue, tokens
+from . import history_dedup, mixture, repeated_lines, residue, tokens
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
@@ -23,6 +23,21 @@ def p4_clean(spark: SparkSession, d: str) -> DataFrame:
     return repeated_lines.without_repeated(table(spark, d, "source_article"))
 
 
+def p5_scored(spark: SparkSession, d: str) -> DataFrame:
+    links, _, rows = history_dedup.deduplicate(table(spark, d, "source_article"), table(spark, d, "outlet"))
+    return history_dedup.scored_links(links, rows)
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return p5_scored(spark, d).select("kept_id", "dup_id")
+
+
+def p5_clusters(spark: SparkSession, d: str) -> DataFrame:
+    _, state, _ = history_dedup.deduplicate(table(spark, d, "source_article"), table(spark, d, "outlet"))
+    c = state.read("clusters")
+    return c.groupBy("representative").agg(F.count(F.lit(1)).alias("n_articles"), F.max("id").alias("last_id"))
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return residue.scan(table(spark, d, "source_article")).where("residue").select(F.col("id").alias("article_id")).distinct()
 
@@ -43,5 +58,5 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixture.report(table(spark, d, "documents"), table(spark, d, "source_target"))
 
 
-QUERIES = {"p4_found": p4_found, "p4_blocks": p4_blocks, "p4_clean": p4_clean, "p7_found": p7_found, "p7_scores": p7_scores, "p8_ids": p8_ids, "p9_mixture": p9_mixture, "p9_shares": p9_shares}
+QUERIES = {"p4_found": p4_found, "p4_blocks": p4_blocks, "p4_clean": p4_clean, "p5_found": p5_found, "p5_scored": p5_scored, "p5_clusters": p5_clusters, "p7_found": p7_found, "p7_scores": p7_scores, "p8_ids": p8_ids, "p9_mixture": p9_mixture, "p9_shares": p9_shares}
 SQL: dict[str, str] = {}
