@@ -6,7 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import table
-from . import history_dedup, mixture, repeated_lines, residue, tokens
+from . import history_dedup, main_body, mixture, repeated_lines, residue, tokens
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return main_body.outside_lines(table(spark, d, "source_article")).withColumnRenamed("id", "article_id")
+
+
+def p1_text(spark: SparkSession, d: str) -> DataFrame:
+    return main_body.main_texts(table(spark, d, "source_article"))
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
@@ -58,5 +66,5 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixture.report(table(spark, d, "documents"), table(spark, d, "source_target"))
 
 
-QUERIES = {"p4_found": p4_found, "p4_blocks": p4_blocks, "p4_clean": p4_clean, "p5_found": p5_found, "p5_scored": p5_scored, "p5_clusters": p5_clusters, "p7_found": p7_found, "p7_scores": p7_scores, "p8_ids": p8_ids, "p9_mixture": p9_mixture, "p9_shares": p9_shares}
+QUERIES = {"p1_found": p1_found, "p1_text": p1_text, "p4_found": p4_found, "p4_blocks": p4_blocks, "p4_clean": p4_clean, "p5_found": p5_found, "p5_scored": p5_scored, "p5_clusters": p5_clusters, "p7_found": p7_found, "p7_scores": p7_scores, "p8_ids": p8_ids, "p9_mixture": p9_mixture, "p9_shares": p9_shares}
 SQL: dict[str, str] = {}
