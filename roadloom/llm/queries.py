@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import table
-from . import history_dedup, main_body, mixture, repeated_lines, residue, tokens
+from . import history_dedup, language, main_body, mixture, repeated_lines, residue, tokens
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -46,6 +46,14 @@ def p5_clusters(spark: SparkSession, d: str) -> DataFrame:
     return c.groupBy("representative").agg(F.count(F.lit(1)).alias("n_articles"), F.max("id").alias("last_id"))
 
 
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return language.corrections(table(spark, d, "source_article")).withColumnRenamed("id", "article_id")
+
+
+def p6_languages(spark: SparkSession, d: str) -> DataFrame:
+    return language.languages(table(spark, d, "source_article")).withColumn("confidence", F.round("confidence", 6))
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return residue.scan(table(spark, d, "source_article")).where("residue").select(F.col("id").alias("article_id")).distinct()
 
@@ -66,5 +74,5 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixture.report(table(spark, d, "documents"), table(spark, d, "source_target"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_text": p1_text, "p4_found": p4_found, "p4_blocks": p4_blocks, "p4_clean": p4_clean, "p5_found": p5_found, "p5_scored": p5_scored, "p5_clusters": p5_clusters, "p7_found": p7_found, "p7_scores": p7_scores, "p8_ids": p8_ids, "p9_mixture": p9_mixture, "p9_shares": p9_shares}
+QUERIES = {"p1_found": p1_found, "p1_text": p1_text, "p4_found": p4_found, "p4_blocks": p4_blocks, "p4_clean": p4_clean, "p5_found": p5_found, "p5_scored": p5_scored, "p5_clusters": p5_clusters, "p6_found": p6_found, "p6_languages": p6_languages, "p7_found": p7_found, "p7_scores": p7_scores, "p8_ids": p8_ids, "p9_mixture": p9_mixture, "p9_shares": p9_shares}
 SQL: dict[str, str] = {}
