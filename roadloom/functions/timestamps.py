@@ -99,7 +99,7 @@ def with_utc_micros(df: DataFrame, value: Column, default_zone: Column, day_firs
     """
     keep = df.columns
     v = F.col("_ts_v")
-    df = df.select("*", F.trim(F.regexp_replace(ascii_digits(value), r"[\s  -‏  　﻿]+", " ")).alias("_ts_v"), default_zone.alias("_ts_z"), day_first.alias("_ts_df"))
+    df = df.select("*", F.trim(F.regexp_replace(ascii_digits(value), r"[\s\u00a0\u2000-\u200f\u202f\u205f\u3000\ufeff]+", " ")).alias("_ts_v"), default_zone.alias("_ts_z"), day_first.alias("_ts_df"))
     parts = F.when(v.rlike(r"^\d{10}(\d{3})?$"), F.array(F.lit("epoch"), v))
     for name, pat, order in SHAPES:
         groups = [f"${g}" for g in order] + [f"${g}" for g in range(4, 10)]

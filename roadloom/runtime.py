@@ -56,6 +56,19 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def bounded_sample(df: DataFrame, by: str, size: int) -> list:
+    """About size rows (at most twice as many) for fitting a model, chosen by a hash of column `by` over the whole table.
+
+    The rows are counted first, so every row has the same chance whatever the table's size; sorted for determinism.
+    """
+    from pyspark.sql import functions as F
+
+    n = df.select(F.count(F.lit(1))).first()[0]
+    if n > size:
+        df = df.where(F.pmod(F.xxhash64(F.lit("sample"), by), F.lit(1_000_000)) < int(1_000_000 * size / n) + 1)
+    return sorted(df.limit(2 * size).collect(), key=lambda r: (str(r[by]), str(r)))
+
+
 def tokenizer_file(name: str) -> str:
     """Path of a public vocabulary; the folder is a parameter (ROADLOOM_TOKENIZERS)."""
     return os.path.join(os.environ.get("ROADLOOM_TOKENIZERS", "/opt/tokenizers"), name)
