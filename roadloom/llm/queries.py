@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import table
-from . import history_dedup, language, main_body, mixture, repeated_lines, residue, tokens
+from . import history_dedup, language, main_body, mixture, repeated_lines, residue, tokens, toxicity
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -74,5 +74,18 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixture.report(table(spark, d, "documents"), table(spark, d, "source_target"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_text": p1_text, "p4_found": p4_found, "p4_blocks": p4_blocks, "p4_clean": p4_clean, "p5_found": p5_found, "p5_scored": p5_scored, "p5_clusters": p5_clusters, "p6_found": p6_found, "p6_languages": p6_languages, "p7_found": p7_found, "p7_scores": p7_scores, "p8_ids": p8_ids, "p9_mixture": p9_mixture, "p9_shares": p9_shares}
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return toxicity.score(table(spark, d, "documents")).where(F.col("score") >= toxicity.LEAST_SCORE).select("doc_id").distinct()
+
+
+def p10_scores(spark: SparkSession, d: str) -> DataFrame:
+    s = toxicity.score(table(spark, d, "documents"))
+    return s.select("doc_id", "source", F.round("score", 4).alias("score"), F.size("spans").alias("n_spans"))
+
+
+def p10_rates(spark: SparkSession, d: str) -> DataFrame:
+    return toxicity.source_rates(table(spark, d, "documents"))
+
+
+QUERIES = {"p1_found": p1_found, "p1_text": p1_text, "p4_found": p4_found, "p4_blocks": p4_blocks, "p4_clean": p4_clean, "p5_found": p5_found, "p5_scored": p5_scored, "p5_clusters": p5_clusters, "p6_found": p6_found, "p6_languages": p6_languages, "p7_found": p7_found, "p7_scores": p7_scores, "p8_ids": p8_ids, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_found": p10_found, "p10_scores": p10_scores, "p10_rates": p10_rates}
 SQL: dict[str, str] = {}
