@@ -21,9 +21,10 @@ from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..runtime import bounded_sample, persist_table
 from . import residue
 
 SAMPLE_PAGES = 3000
@@ -31,7 +32,7 @@ LEAST_VOTES = 0.05
 #: A page whose best path holds less sentence text than this has no vote (a legal note alone is no main body).
 VOTE_CHARS = 250
 PURE = 0.9
-SENTENCE_LETTERS = 30
+SENTENCE_CHARS = 40
 LD = "ld+json"
 
 _TAG = re.compile(r"<!--.*?-->|<(script|style|noscript|title)\b([^>]*)>(.*?)</\1\s*>|<(/?)([a-zA-Z][\w:-]*)([^>]*)>", re.S | re.I)
@@ -41,13 +42,12 @@ _INLINE = {"a", "b", "i", "em", "strong", "u", "small", "sup", "sub", "mark", "a
 _VOID = {"br", "hr", "img", "meta", "link", "input", "wbr", "source"}
 _END = re.compile(r"[.।۔॥?!…]+[\"'”’)\]\s]*$")
 _SPLIT = re.compile(r"[\s.,;:!?|/»«•·\-–—()\[\]{}<>\"'“”‘’।۔،؛*#=+_]+")
-_NOT_LETTER = re.compile(r"[\W\d_]+")
 _LETTER = re.compile(r"[^\W\d_]")
 
 
 def key(text: str) -> str:
-    """Word characters without digits, in lower case: what a block and a line of the clean text have in common."""
-    return _NOT_LETTER.sub("", text.lower())
+    """The text in lower case without white space: what a block and a line of the clean text have in common."""
+    return "".join(text.lower().split())
 
 
 def general_path(stack: list[tuple[str, str]]) -> str:
@@ -122,7 +122,7 @@ class Page:
 
 
 def is_sentence(text: str) -> bool:
-    return bool(_END.search(text)) and len(key(text)) >= SENTENCE_LETTERS
+    return len(text) >= SENTENCE_CHARS and bool(_END.search(text[-12:]))
 
 
 def is_title(block: str, title: str) -> bool:
@@ -181,8 +181,8 @@ def verdicts(v: DataFrame) -> DataFrame:
 
     A path wins with LEAST_VOTES of the host's pages; it decides alone if PURE of its blocks (titles aside) are sentences.
     """
-    n = v.where("path = ''").select("host", F.col("pages").alias("n"))
-    v = v.where("path <> ''").join(n, "host")
+    n = F.max(F.when(F.col("path") == "", F.col("pages"))).over(Window.partitionBy("host"))  # as many rows as a host has paths
+    v = v.withColumn("n", n).where("path <> ''")
     plain = F.col("blocks") - F.col("titles")
     kind = (
         F.when(F.col("path") == LD, "body")
@@ -235,10 +235,10 @@ def labelled_blocks(raw: str, paths: dict[str, str]) -> list[tuple[str, int]]:
 
 
 def train(pages: DataFrame, host_paths: DataFrame, sample_pages: int = SAMPLE_PAGES) -> LineModel:
-    """The word model, from at most sample_pages pages of hosts with a pure body path, chosen by a hash of their text."""
+    """The word model, from about sample_pages pages of hosts with a pure body path, chosen by a hash of their id."""
     pure = F.exists(F.map_values("paths"), lambda k: k == "body") & ~F.exists(F.map_values("paths"), lambda k: k == "mixed")
-    decided = pages.where("raw_html <> ''").join(host_paths.where(pure), "host").select(F.xxhash64("raw_html").alias("h"), "raw_html", "paths")
-    rows = decided.orderBy("h", "raw_html").limit(sample_pages).collect()
+    decided = pages.where("raw_html <> ''").join(host_paths.where(pure), "host").select("id", "raw_html", "paths")
+    rows = bounded_sample(decided, "id", sample_pages)
     return LineModel([x for r in rows for x in labelled_blocks(r["raw_html"], r["paths"])])
 
 
@@ -298,10 +298,8 @@ def extractor_for(articles: DataFrame) -> tuple[DataFrame, Extractor]:
     """(articles with host and paths, the fitted extractor) of articles (id, url, raw_html, clean_text, ...)."""
     a = articles.withColumn("host", host(F.col("url")))
     host_paths = verdicts(votes(a.select("host", "raw_html")))
-    from ..runtime import persist_table
-
     host_paths = persist_table(host_paths, "host-paths")
-    model = train(a.select("host", "raw_html"), host_paths)
+    model = train(a.select("id", "host", "raw_html"), host_paths)
     df, n = residue.document_frequencies(articles, "clean_text")
     return a.join(host_paths, "host", "left"), Extractor(model, residue.Index(df, n))
 

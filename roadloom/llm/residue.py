@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -81,15 +81,19 @@ EXEMPLARS = {
     "empty": ["null", "None", "None None", "NaN", "undefined", "undefined undefined", "undefined min read", "[object Object]", "N/A", "nil", "TBD"],
 }
 
-_WORD = re.compile(r"\w+")
+_WORD = re.compile(r"[^\s.,;:!?|/\\»«•·–—()\[\]{}<>\"'“”‘’।۔،؛=+*#$&%@_~^`-]+")
 _DIGIT = re.compile(r"\d")
+_DIGITS = re.compile(r"\w*\d\w*")
 _PLACE = re.compile(r"(?:/[\w.-]+){2,}|\b(?:[\w-]+\.)+[a-z]{2,}\b")  # a path or host name
 _SLOTS = re.compile("|".join(SLOT_FORMS))
 
 
 def terms(text: str) -> list[str]:
-    """Words in lower case; a word with a digit in it is '0', a path or host name 'sitename'."""
-    return ["0" if _DIGIT.search(w) else w for w in _WORD.findall(_PLACE.sub(" sitename ", text.lower()))]
+    """Words in lower case, marks included; a word with a digit in it is '0', a path or host name 'sitename'."""
+    s = text.lower()
+    if "." in s or "/" in s:
+        s = _PLACE.sub(" sitename ", s)
+    return _WORD.findall(_DIGITS.sub("0", s) if _DIGIT.search(s) else s)
 
 
 class Index:
@@ -121,14 +125,16 @@ class Index:
     def coverage(self, text: str) -> tuple[float, str]:
         """Share of the text's word characters inside windows of high containment, and their commonest label."""
         total, covered, labels = 0, 0, defaultdict(int)
+        weight, unknown = self.idf.get, self.unknown
         for line in text.split("\n"):
             words = terms(line)
             for at in range(0, len(words), WINDOW_TERMS):
                 w = words[at : at + WINDOW_TERMS]
                 size = sum(map(len, w))
                 total += size
-                known = sum(1 for t in w if t in self.of)
-                if known * 3 < len(w):
+                known = [x for x in map(weight, w) if x is not None]
+                # no exemplar can hold more than all known terms together
+                if sum(known) < LEAST_CONTAINMENT * (sum(known) + unknown * (len(w) - len(known))):
                     continue
                 share, label = self.best(w)
                 if share >= LEAST_CONTAINMENT:
@@ -143,12 +149,21 @@ def vocabulary() -> list[str]:
 
 def document_frequencies(docs: DataFrame, text_col: str) -> tuple[dict[str, int], int]:
     """Document frequency of each exemplar term over all texts, and their number: bounded by the exemplars' vocabulary."""
-    words = F.regexp_extract_all(F.lower(text_col), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))
-    vocab = F.array(*[F.lit(t) for t in vocabulary() if t != "0"])
-    d = docs.where(F.col(text_col).isNotNull()).select(F.concat(F.array_intersect(words, vocab), F.array(F.lit(""))).alias("w"))
-    rows = d.select(F.explode("w").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n")).collect()
+    vocab = frozenset(vocabulary()) - {"0"}
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df: Counter = Counter()
+        n = 0
+        for b in batches:
+            for t in b.column(0).to_pylist():
+                n += 1
+                df.update(vocab.intersection(terms(t)))
+        yield pa.RecordBatch.from_arrays([pa.array(["", *df], pa.string()), pa.array([n, *df.values()], pa.int64())], names=["t", "n"])
+
+    rows = docs.where(F.col(text_col).isNotNull()).select(text_col).mapInArrow(count, "t string, n bigint").groupBy("t").agg(F.sum("n").alias("n")).collect()
     df = {r["t"]: r["n"] for r in rows}
-    return df, df.pop("", 0)
+    n = df.pop("", 0)
+    return df, n
 
 
 def scan(docs: DataFrame, id_col: str = "id", text_col: str = "clean_text") -> DataFrame:
