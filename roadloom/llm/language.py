@@ -4,7 +4,7 @@ Word-first backoff: a word seen in training scores by its log frequency in each
 character n-grams known of it.  A language counts whatever script it is written in, because words of every script seen
 under a label are its words.
 
-Training: a bounded sample of articles (SAMPLE_ARTICLES, by a hash of the text).  Their labels may be wrong and their
+Training: a bounded sample of articles (SAMPLE_ARTICLES, by a hash of the id).  Their labels may be wrong and their
 lines mixed, so the first tables are counted by article label and then twice more by the language the tables themselves
 give each line; lines in Latin letters start from seed words instead, as labels say little about the language of
 romanised text.
@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..runtime import bounded_sample
 from .main_body import Extractor, extractor_for
 
 SAMPLE_ARTICLES = 4000
@@ -109,18 +110,13 @@ class Tables:
 
     def score(self, line: str) -> tuple[int, float, float]:
         """(language, margin, confidence): -1 for a line without scored words; ties go to the first language listed."""
-        s = [0.0] * len(LANGUAGES)
-        n = 0
-        for w in words(line):
-            v = self.of(w)
-            if v is not None:
-                n += 1
-                for i, x in enumerate(v):
-                    s[i] += x
-        if not n:
+        known, of = self.words.get, self.of
+        found = [v for v in [known(w) or of(w) for w in words(line)] if v is not None]
+        if not found:
             return -1, 0.0, 0.0
+        n, s = len(found), [sum(c) for c in zip(*found)]
         best = max(range(len(s)), key=lambda i: s[i])
-        margin = s[best] - max(x for i, x in enumerate(s) if i != best)
+        margin = s[best] - max(s[:best] + s[best + 1 :])
         scale = math.sqrt(n)
         return best, margin, 1.0 / sum(math.exp((x - s[best]) / scale) for x in s)
 
@@ -188,7 +184,7 @@ def languages(articles: DataFrame, id_col: str = "id") -> DataFrame:
     """
     src = articles.select(F.col(id_col).alias("id"), "url", "raw_html", "clean_text", "language")
     a, ex = extractor_for(src)
-    sample = src.where("clean_text <> ''").select(F.xxhash64("clean_text").alias("h"), "clean_text", "language").orderBy("h", "clean_text", "language").limit(SAMPLE_ARTICLES).collect()
+    sample = bounded_sample(src.where("clean_text <> ''").select("id", "clean_text", "language"), "id", SAMPLE_ARTICLES)
     labelled = []
     for r in sample:
         lang, flags = normal_label(r["language"]), ex.lines(r["clean_text"], None, None)

@@ -28,7 +28,7 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 CACHE_PIECES = 1 << 18
 ROWS_AT_ONCE = 512
 # The white space of the pre-token pattern (Unicode White_Space) and the pattern itself.
-_W = r"\t-\r \x85\xa0  -     　"
+_W = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _PIECE = re.compile(rf" ?[^{_W}]+|[{_W}]+(?![^{_W}])|[{_W}]+")
 _PRETOKEN = rf"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_W}\p{{L}}\p{{N}}]+|[{_W}]+(?![^{_W}])|[{_W}]+"""
 
