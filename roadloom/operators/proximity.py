@@ -34,7 +34,8 @@ def located(df: DataFrame, id_col: str, geom_col: str) -> DataFrame:
     Null, empty or unreadable geometry and the point 0 0 are no location.  Should an id stand with several locations,
     each of them counts.
     """
-    p = df.select(F.col(id_col).cast("bigint").alias("id"), point(F.col(geom_col)).alias("_p"))
+    once = F.spark_partition_id() >= 0  # non-deterministic: keeps the filter below from repeating the parsing
+    p = df.select(F.col(id_col).cast("bigint").alias("id"), F.when(once, point(F.col(geom_col))).alias("_p"))
     return p.where(F.col("id").isNotNull() & F.col("_p").isNotNull()).select("id", F.col("_p.lat").alias("lat"), F.col("_p.lon").alias("lon")).distinct()
 
 
