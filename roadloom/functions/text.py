@@ -51,7 +51,7 @@ def simhash(text: Column) -> Column:
     An empty text has no words and hashes to 0.
     """
     h = F.transform(words(text), lambda w: F.xxhash64(w))
-    half = lambda s: F.aggregate(F.sequence(F.lit(0), F.lit(31)), F.lit(0).cast("bigint"), lambda acc, i: acc + F.when(2 * F.size(F.filter(h, lambda x: F.shiftrightunsigned(x, i + s).bitwiseAND(F.lit(1)) == 1)) > F.size(h), F.shiftleft(F.lit(1).cast("bigint"), i)).otherwise(F.lit(0)))
+    half = lambda s: F.aggregate(F.sequence(F.lit(0), F.lit(31)), F.lit(0).cast("bigint"), lambda acc, i: acc + F.when(2 * F.size(F.filter(h, lambda x: F.call_function("shiftrightunsigned", x, (i + s).cast("int")).bitwiseAND(F.lit(1)) == 1)) > F.size(h), F.call_function("shiftleft", F.lit(1).cast("bigint"), i.cast("int"))).otherwise(F.lit(0)))
     return F.when(text.isNotNull(), F.lower(F.concat(F.lpad(F.hex(half(32)), 8, "0"), F.lpad(F.hex(half(0)), 8, "0"))))
 
 
