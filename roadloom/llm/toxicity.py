@@ -88,6 +88,7 @@ AROUND = ["Ok so", "LOL", "Honestly", "Think about it", "Wow, what an article",
 # Characters that stand for Latin letters.
 _LOOKALIKE = str.maketrans("авеёкмнорстухіјѕԁԛԝɡαεορνικτ", "abeekmhopctyxijsdqwgaeopvikt")
 _LEET = str.maketrans("013457@$!|", "oieastasil")
+_ALIEN = re.compile("[\u0370-\u04ff]")
 _INVISIBLE = re.compile("[\u00ad\u200b-\u200f\u2060-\u2064\ufeff\u034f]")
 _SPACED = re.compile(r"(?<![a-z0-9@$*])(?:[a-z@$][ .\-_]){2,}[a-z@$]{1,3}(?![a-z])")
 _STRETCH = re.compile(r"(\w)\1{2,}")
@@ -96,28 +97,40 @@ _CLAUSE = re.compile(r"(?<=[.!?।۔])\s+|[\r\n\u2028\u2029]+")
 _MIXED = re.compile(r"(?=[^a-z]*[a-z])(?=.*[013457@$!|])[a-z0-9@$!|*']+$")
 
 
+def prepare(sentence: str) -> str:
+    """Lower case, compatibility forms and look-alikes replaced, invisible characters dropped, spaced letters joined."""
+    if sentence.isascii():
+        s = sentence.lower()
+    else:
+        s = sentence if unicodedata.is_normalized("NFKC", sentence) else unicodedata.normalize("NFKC", sentence)
+        s = _INVISIBLE.sub("", s).lower()
+        if _ALIEN.search(s):
+            s = s.translate(_LOOKALIKE)
+        s = s.replace("’", "'")
+    return _SPACED.sub(_join, s)
+
+
+def _join(m: re.Match) -> str:
+    return re.sub(r"[ .\-_]", "", m.group(0))
+
+
+def normal(t: str) -> str:
+    """A word with digits for letters and stretching undone; numbers are 0, user names nothing."""
+    if t.isascii():
+        if t[0] == "@" and t[1:].rstrip("0123456789") in ("user", ""):
+            return ""
+        if t.isdigit():
+            return "0"
+        if _MIXED.match(t):
+            t = t.translate(_LEET)
+    elif t.isdigit():
+        return "0"
+    return _STRETCH.sub(r"\1", t)
+
+
 def tokens(sentence: str) -> list[str]:
     """Words with disguises undone: look-alikes, invisible characters, spaced letters, digits for letters, stretching."""
-    s = sentence if sentence.isascii() else _INVISIBLE.sub("", unicodedata.normalize("NFKC", sentence))
-    s = s.lower()
-    if not s.isascii() and re.search("[a-zа-яѐ-ӿα-ω]", s):
-        s = s.translate(_LOOKALIKE)
-    if "'" in s or "’" in s:
-        s = s.replace("’", "'")
-    s = _SPACED.sub(lambda m: re.sub(r"[ .\-_]", "", m.group(0)), s)
-    out = []
-    for t in _TOKEN.findall(s):
-        if t.isascii():
-            if t[0] == "@" and t[1:].rstrip("0123456789") in ("user", ""):
-                continue
-            if t.isdigit():
-                t = "0"
-            elif _MIXED.match(t):
-                t = t.translate(_LEET)
-        elif t.isdigit():
-            t = "0"
-        out.append(_STRETCH.sub(r"\1", t))
-    return out
+    return [n for n in map(normal, _TOKEN.findall(prepare(sentence))) if n]
 
 
 def features(w: list[str]) -> list[list[str]]:
@@ -253,27 +266,51 @@ def train(texts: list[str]) -> Field:
     return Field().fit(seq)
 
 
+class _Words(dict):
+    """Raw word to normal word; forgets everything when full."""
+
+    def __init__(self, field: Field):
+        super().__init__()
+        self.field = field
+
+    def __missing__(self, t: str) -> str:
+        n = normal(t)
+        n = self.field.unstar(n) if "*" in n else n
+        if len(self) > 300_000:
+            self.clear()
+        self[t] = n
+        return n
+
+
+class _Evidence(_Words):
+    """Raw word to its evidence, 0 if there is none."""
+
+    def __missing__(self, t: str) -> float:
+        n = normal(t)
+        v = self.field.evidence.get(self.field.unstar(n) if "*" in n else n, 0.0)
+        if len(self) > 300_000:
+            self.clear()
+        self[t] = v
+        return v
+
+
 class Tagger:
     def __init__(self, field: Field):
         self.field = field
-        self.memo: dict[tuple, tuple[float, int]] = {}
+        self.memo: dict[tuple, float] = {}
+        self.words, self.evidence = _Words(field), _Evidence(field)
 
     def sentence(self, s: str) -> float:
         """Score of the worst span of a sentence: the mean marginal of a run of tokens that are likelier offending."""
-        w = tokens(s)
-        if not w:
+        raw = _TOKEN.findall(prepare(s))
+        if sum(map(self.evidence.__getitem__, raw)) < LEAST_EVIDENCE:
             return 0.0
         f = self.field
-        if "*" in s:
-            w = [f.unstar(t) if "*" in t else t for t in w]
-        get = f.evidence.get
-        if sum([get(t, 0.0) for t in w]) < LEAST_EVIDENCE:
-            return 0.0
-        k = tuple([t if t in f.vocab else "?" for t in w])
+        k = tuple([t if t in f.vocab else "?" for t in map(self.words.__getitem__, raw) if t])
         got = self.memo.get(k)
         if got is None:
             get = f.weights.get
-            emit = [f.bias + sum(get(x, 0.0) for x in fs) for fs in features(list(k))]
+            emit = [f.bias + sum([get(x, 0.0) for x in fs]) for fs in features(list(k))]
             p, _, _ = f.marginals(emit)
             got, run = 0.0, []
             for i, v in enumerate([*p, 0.0]):
