@@ -21,7 +21,8 @@ def plain_text(html: Column) -> Column:
     t = F.regexp_replace(t, r"(?s)<[^>]*>", "")
     for a, b in _ENTITIES:
         t = F.replace(t, F.lit(a), F.lit(b))
-    return F.trim(F.regexp_replace(F.regexp_replace(t, r"[ \t ]+", " "), r"\s*\n\s*", "\n"))
+    t = F.regexp_replace(F.regexp_replace(t, r"[ \t\u00a0]+", " "), r"\s*\n\s*", "\n")
+    return F.regexp_replace(t, r"^\s+|\s+$", "")
 
 
 def page_text(html: Column) -> Column:
