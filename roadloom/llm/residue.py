@@ -106,7 +106,7 @@ class Index:
             for t in s:
                 self.of[t].append(i)
         self.unknown = math.log(1 + n_docs)
-        self.idf = {t: math.log(1 + n_docs / (1 + df.get(t, 0))) for t in self.of}
+        self.idf = {t: math.log(1 + n_docs / (1 + df.get(t, 0))) for t in self.of} | {"0": 0.0}  # numbers alone say nothing
 
     def best(self, window: list[str]) -> tuple[float, str]:
         weights: dict[str, float] = {}
