@@ -88,4 +88,10 @@ def p10_rates(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {"p1_found": p1_found, "p1_text": p1_text, "p4_found": p4_found, "p4_blocks": p4_blocks, "p4_clean": p4_clean, "p5_found": p5_found, "p5_scored": p5_scored, "p5_clusters": p5_clusters, "p6_found": p6_found, "p6_languages": p6_languages, "p7_found": p7_found, "p7_scores": p7_scores, "p8_ids": p8_ids, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_found": p10_found, "p10_scores": p10_scores, "p10_rates": p10_rates}
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "p4_found": r"""with a as (select id, outlet_name, string_split(clean_text, chr(10)) as l from source_article where clean_text is not null and trim(outlet_name) <> ''),
+x as (select id, outlet_name, lower(regexp_replace(unnest(l), '[^\p{L}\p{M}]+', '', 'g')) as k, unnest(range(1, len(l) + 1)) as line_no from a),
+y as (select * from x where regexp_matches(k, '\p{L}')), n as (select outlet_name, count(distinct id) as n from a group by 1),
+s as (select outlet_name, k, count(distinct id) as c from y group by 1, 2)
+select y.id as article_id, cast(y.line_no as int) as line_no from y join s using (outlet_name, k) join n using (outlet_name) where s.c >= 5 and s.c * 100 >= 6 * n.n""",
+}
