@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,8 +44,32 @@ def planar_pairs(points: DataFrame, eps: float) -> DataFrame:
     p = points.select("id", "x", "y", F.floor(F.col("x") / eps).alias("cx"), F.floor(F.col("y") / eps).alias("cy"))
     q = p.select(F.col("id").alias("id2"), F.col("x").alias("x2"), F.col("y").alias("y2"), F.explode(F.sequence(F.col("cx") - 1, F.col("cx") + 1)).alias("cx"), F.col("cy").alias("oy"))
     q = q.withColumn("cy", F.explode(F.sequence(F.col("oy") - 1, F.col("oy") + 1)))
-    near = (F.col("x") - F.col("x2")) * (F.col("x") - F.col("x2")) + (F.col("y") - F.col("y2")) * (F.col("y") - F.col("y2")) <= eps * eps
-    return p.join(q, ["cx", "cy"]).where((F.col("id") < F.col("id2")) & near).select(F.col("id").alias("a"), F.col("id2").alias("b"))
+    return p.join(q, ["cx", "cy"]).where((F.col("id") < F.col("id2")) & _near(eps)).select(F.col("id").alias("a"), F.col("id2").alias("b"))
+
+
+def _near(eps: float):
+    dx, dy = F.col("x") - F.col("x2"), F.col("y") - F.col("y2")
+    return dx * dx + dy * dy <= eps * eps
+
+
+def _reach_components(raw: DataFrame, eps: float) -> DataFrame:
+    """(id, cluster) of points (id, x, y) whose chains of steps of at most eps meet.
+
+    Points of one cell of eps/sqrt(2) always meet, so a cell is one node of the graph, however many points it holds; two
+    cells within reach are joined by an edge if some pair of their points is near enough.
+    """
+    side = eps / math.sqrt(2) * (1 - 1e-9)
+    p = persist_table(raw.select("id", "x", "y", F.floor(F.col("x") / side).alias("cx"), F.floor(F.col("y") / side).alias("cy")), "points")
+    cells = persist_table(p.groupBy("cx", "cy").agg(F.min("id").alias("cell")), "cells")
+    sites = p.select("x", "y", "cx", "cy").distinct().join(cells, ["cx", "cy"])
+    ahead = [(i, j) for i in range(0, 3) for j in range(-2, 3) if (i, j) > (0, 0)]  # each pair of cells once
+    step = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in ahead]))
+    q = sites.select(F.col("x").alias("x2"), F.col("y").alias("y2"), F.col("cell").alias("b"), "cx", "cy", step.alias("s"))
+    q = q.select("x2", "y2", "b", (F.col("cx") + F.col("s.i")).alias("cx"), (F.col("cy") + F.col("s.j")).alias("cy"))
+    edges = sites.join(q, ["cx", "cy"]).where(_near(eps)).select(F.col("cell").alias("a"), "b").distinct()
+    edges = persist_table(edges.unionByName(cells.select(F.col("cell").alias("a"), F.col("cell").alias("b"))), "cell-edges")
+    label = connected_components(edges).select(F.col("node").alias("cell"), F.col("component").alias("cluster"))
+    return p.select("id", "cx", "cy").join(cells, ["cx", "cy"]).join(label, "cell").select("id", "cluster")
 
 
 def _core_sites(both: DataFrame, weight: DataFrame, min_points: int) -> DataFrame:
@@ -54,27 +80,24 @@ def _core_sites(both: DataFrame, weight: DataFrame, min_points: int) -> DataFram
 def dbscan(points: DataFrame, eps: float, min_points: int = 1) -> DataFrame:
     """(id, cluster) of points (id, lat, lon): density clusters in Web-Mercator units; cluster is its smallest core id.
 
-    min_points counts the point itself; with 1 every point is a core point.  Border points join the lowest core label in
-    reach, noise has a null cluster.  Points at one place are one node of the graph (weighted by their number), so a pile of
-    reports on one pin makes no pairs.
+    min_points counts the point itself; with 1 every point is a core point and whole cells are joined.  Border points join
+    the lowest core label in reach, noise has a null cluster.  Points at one place are one site (weighted by their number),
+    so a pile of reports on one pin makes no pairs.
     """
     x, y = mercator(F.col("lat"), F.col("lon"))
-    raw = persist_table(points.select("id", x.alias("x"), y.alias("y")), "points")
-    sites = raw.groupBy("x", "y").agg(F.min("id").alias("site"), F.count(F.lit(1)).alias("n"))
-    sites = persist_table(sites, "sites")
+    raw = points.select("id", x.alias("x"), y.alias("y"))
+    if min_points <= 1:
+        return _reach_components(raw, eps)
+    raw = persist_table(raw, "points")
+    sites = persist_table(raw.groupBy("x", "y").agg(F.min("id").alias("site"), F.count(F.lit(1)).alias("n")), "sites")
     member = raw.join(sites.select("x", "y", "site"), ["x", "y"]).select("id", "site")
     pairs = persist_table(planar_pairs(sites.select(F.col("site").alias("id"), "x", "y"), eps), "near")
     weight = sites.select("site", "n")
     both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    if min_points <= 1:
-        core = sites.select("site")
-    else:
-        core = _core_sites(both, weight, min_points)
-    c = core.select(F.col("site").alias("a"))
-    inner = pairs if min_points <= 1 else pairs.join(c, "a", "left_semi").join(c.withColumnRenamed("a", "b"), "b", "left_semi").select("a", "b")
+    c = _core_sites(both, weight, min_points).select(F.col("site").alias("a"))
+    inner = pairs.join(c, "a", "left_semi").join(c.withColumnRenamed("a", "b"), "b", "left_semi").select("a", "b")
     links = persist_table(inner.unionByName(c.select("a", F.col("a").alias("b"))), "links")
     label = connected_components(links).withColumnRenamed("node", "site").withColumnRenamed("component", "cluster")
-    if min_points > 1:
-        reach = both.join(label.withColumnRenamed("site", "b"), "b").groupBy(F.col("a").alias("site")).agg(F.min("cluster").alias("near_cluster"))
-        label = weight.select("site").join(label, "site", "left").join(reach, "site", "left").select("site", F.coalesce("cluster", "near_cluster").alias("cluster"))
+    reach = both.join(label.withColumnRenamed("site", "b"), "b").groupBy(F.col("a").alias("site")).agg(F.min("cluster").alias("near_cluster"))
+    label = weight.select("site").join(label, "site", "left").join(reach, "site", "left").select("site", F.coalesce("cluster", "near_cluster").alias("cluster"))
     return member.join(label, "site", "left").select("id", "cluster")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.text import coerce_double, coerce_int, hamming, simhash
+from ..functions.text import coerce_double, hamming, simhash
 from ..operators.evidence import mentions, stems, valid_claims
 from ..operators.geocoding import better, ladder
 from ..operators.merging import greedy_merges, merge_rounds, remap
@@ -13,7 +13,8 @@ from ..runtime import persist_table, table
 from ..sources.files import geojson_features, nested
 from ..sources.html import linked_data_body, page_text
 from ..streaming.intake import event_stream, run_to_table, sessions, windowed_counts
-from .registry import INC, LINKS, PTS, SPOTS, incidents, links, points_sql, same_crash_pairs
+from .geo_sql import SPOTS, points_sql
+from .registry import INC, LINKS, incidents, links, same_crash_pairs
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -38,7 +39,7 @@ def prefilter_pass(spark, d):
     return table(spark, d, "source_article").select("id", mentions(F.col("clean_text"), SCREEN).alias("passes"))
 
 
-CLAIMS = "c as (select a.id as doc_id, k.code, k.confidence, case k.pos when 1 then '  ' || upper(substr(clean_text, 5, 30)) when 2 then substr(clean_text, 40, 25) when 3 then 'zz not there zz' else '' end as snippet from source_article a, (values (1, 'potholes', 0.6), (2, 'potholes', 0.8), (3, 'signage', 0.9), (2, 'no_infrastructure_defect_identified', 0.7), (4, 'signage', 0.5)) k(pos, code, confidence) where a.id % 2 = k.pos % 2 and clean_text is not null)"
+CLAIMS = "c as (select a.id as doc_id, k.code, k.confidence, case k.pos when 1 then '  ' || upper(substr(clean_text, 5, 30)) when 2 then substr(clean_text, 40, 25) when 3 then 'zz not there zz' else '' end as snippet from source_article a, (values (1, 'potholes', 0.6), (2, 'potholes', 0.8), (3, 'signage', 0.9), (2, 'no_infrastructure_defect_identified', 0.7), (4, 'signage', 0.5)) k(pos, code, confidence) where clean_text is not null)"
 _SQ = lambda x: f"lower(trim(regexp_replace({x}, '\\s+', ' ', 'g')))"
 
 
@@ -48,10 +49,10 @@ select doc_id, code, cast(confidence as double) as confidence from b where rn =
 def evidence_validation(spark, d):
     """Claims (made here from the texts themselves) kept only with a verbatim quote."""
     a = table(spark, d, "source_article").where("clean_text is not null").select("id", F.col("clean_text").alias("text"))
-    k = spark.createDataFrame([(1, "potholes", 0.6), (2, "potholes", 0.8), (3, "signage", 0.9), (2, "no_infrastructure_defect_identified", 0.7), (4, "signage", 0.5)], "pos int, code string, confidence double")
+    kinds = [(1, "potholes", 0.6), (2, "potholes", 0.8), (3, "signage", 0.9), (2, "no_infrastructure_defect_identified", 0.7), (4, "signage", 0.5)]
     snippet = F.when(F.col("pos") == 1, F.concat(F.lit("  "), F.upper(F.substring("text", 5, 30)))).when(F.col("pos") == 2, F.substring("text", 40, 25)).when(F.col("pos") == 3, "zz not there zz").otherwise("")
-    half = a.withColumn("par", F.pmod("id", F.lit(2)).cast("int")).join(k.withColumn("par", F.col("pos") % 2), "par")
-    claims = half.select(F.col("id").alias("doc_id"), "code", "confidence", snippet.alias("snippet"))
+    rows = [F.named_struct(F.lit("pos"), F.lit(p), F.lit("code"), F.lit(c), F.lit("confidence"), F.lit(x)) for p, c, x in kinds]
+    claims = a.select("*", F.explode(F.array(*rows)).alias("k")).select("id", "text", "k.*").select(F.col("id").alias("doc_id"), "code", "confidence", snippet.alias("snippet"))
     return valid_claims(claims, a).select("doc_id", "code", "confidence")
 
 
@@ -75,15 +76,11 @@ def simhash_hex(spark, d):
     return a.select("id", "simhash", hamming(F.col("simhash"), F.col("dedup_hash")).alias("bits_apart"))
 
 
-@query("""select item_id, coalesce(try_cast(try_cast(case when lower(trim(n)) in ('', 'null', 'none', 'n/a', 'na', 'nil', 'unknown', '-') then null else trim(n) end as double) as int), -1) as n, coalesce(try_cast(case when lower(trim(title)) in ('null', 'none') then null else title end as varchar), '-') <> '-' as titled
-from (select item_id, title, case item_id % 5 when 0 then '3' when 1 then '2.0' when 2 then ' N/A ' when 3 then 'None' else 'x' end as n from feed_item)""")
+@query("""select item_id, coalesce(cast(floor(v) as bigint), -1) as n, v is not null as numeric from (select item_id, try_cast(case when lower(trim(published_at)) in ('', 'null', 'none', 'n/a', 'na', 'nil', 'unknown', '-') then null else trim(published_at) end as double) as v from feed_item)""")
 def coerced_values(spark, d):
-    """Stringly numbers: "2.0" is 2, words for nothing are null, the rest the default."""
-    k = F.col("item_id") % 5
-    n = F.when(k == 0, "3").when(k == 1, "2.0").when(k == 2, " N/A ").when(k == 3, "None").otherwise("x")
-    f = table(spark, d, "feed_item")
-    titled = F.col("title").isNotNull() & ~F.lower(F.trim("title")).isin("null", "none") & (F.col("title") != "-")
-    return f.select("item_id", F.coalesce(coerce_int(n), F.lit(-1)).alias("n"), F.coalesce(titled, F.lit(False)).alias("titled"))
+    """Numbers in text columns: words for nothing are null, the rest the default."""
+    v = coerce_double(F.col("published_at"))
+    return table(spark, d, "feed_item").select("item_id", F.coalesce(F.floor(v), F.lit(-1)).alias("n"), v.isNotNull().alias("numeric"))
 
 
 GAZ = f"""{points_sql("sp", "hotspot", "id", "centroid_geom")}, gz as (select lower(h.road_name || ', ' || h.admin_district || ', ' || h.admin_state) as q, min(sp.id) as hid from hotspot h join sp using (id) where h.road_name is not null and h.admin_district is not null and h.admin_state is not null group by 1),

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.geometry import LAT_LON, MERCATOR_RADIUS_M, WKB_POINT, WKT_POINT, ellipsoid_distance_m, mercator
-from ..functions.text import coerce_int, hamming, near_duplicate_rows, outlet_tier, url_host
+from ..functions.geometry import ellipsoid_distance_m, mercator
+from ..functions.text import coerce_int, near_duplicate_rows, outlet_tier, url_host
 from ..operators.components import dbscan
 from ..operators.proximity import located, within_distance
 from ..operators.scoring import WEIGHTS, score_components, tier, total_score
 from ..runtime import persist_table, table
+from .geo_sql import HAV, PTS, SPOTS
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -41,24 +42,6 @@ INC = "inc as (select distinct * from incident)"
 LINKS = "lnk as (select incident_id, source_article_id, max(match_confidence) as match_confidence from incident_source group by 1, 2)"
 
 
-def _sql_double(h: str) -> str:
-    hi, lo = f"('0x' || substr({h}, 1, 8))::bigint", f"('0x' || substr({h}, 9, 8))::bigint"
-    return f"(case when {hi} >> 31 = 1 then -1.0::double else 1.0::double end) * (((({hi} & 1048575) << 32) + {lo} + 4503599627370496)::double * pow(2.0::double, ((({hi} >> 20) & 2047) - 1075)::double))"
-
-
-def points_sql(name: str, relation: str, id_col: str, geom: str) -> str:
-    """CTEs ending in `name`(id, lat, lon): the located rows of a table with points in any notation."""
-    swap = lambda e: " || ".join(f"substr({e}, {15 - 2 * i}, 2)" for i in range(8))
-    return f"""{name}_t as (select distinct {id_col} as id, trim({geom}) as t, upper(trim({geom})) as u from {relation}),
-{name}_h as (select *, case when regexp_matches(t, '{WKB_POINT}') then case when substr(u, 3, 8) in ('01000020', '010000A0', '20000001') then 19 else 11 end end as st from {name}_t),
-{name}_x as (select *, case when substr(u, 1, 2) = '00' then substr(u, st, 16) else {swap("substr(u, st, 16)")} end as hx,
-  case when substr(u, 1, 2) = '00' then substr(u, st + 16, 16) else {swap("substr(u, st + 16, 16)")} end as hy from {name}_h),
-{name}_p as (select id,
-  case when regexp_matches(t, '{WKT_POINT}') then try_cast(regexp_extract(t, '{WKT_POINT}', 1) as double) when regexp_matches(t, '{LAT_LON}') then try_cast(regexp_extract(t, '{LAT_LON}', 2) as double) when st is not null then {_sql_double("hx")} end as lon,
-  case when regexp_matches(t, '{WKT_POINT}') then try_cast(regexp_extract(t, '{WKT_POINT}', 2) as double) when regexp_matches(t, '{LAT_LON}') then try_cast(regexp_extract(t, '{LAT_LON}', 1) as double) when st is not null then {_sql_double("hy")} end as lat from {name}_x),
-{name} as (select distinct id, lat, lon from {name}_p where lat between -90 and 90 and lon between -180 and 180 and not (lat = 0 and lon = 0))"""
-
-
 def ellipsoid_sql(a: str, b: str) -> str:
     phi = f"radians(({a}.lat + {b}.lat) / 2)"
     w = f"(1.0::double - 0.0066943799901413165::double * sin({phi}) * sin({phi}))"
@@ -67,10 +50,6 @@ def ellipsoid_sql(a: str, b: str) -> str:
     return f"sqrt({dx} * {dx} + {dy} * {dy})"
 
 
-PTS = points_sql("pt", "incident", "id", "geom")
-SPOTS = points_sql("sp", "hotspot", "id", "centroid_geom")
-
-
 # --- scans, sinks, set operations ------------------------------------------------------------------------------------
 
 TERMS = ["pothole", "speed breaker", "street light", "crash barrier", "गड्ढे", "खड्ड", "गर्त", "ખાડા", "பள்ளம்", "గుంత"]
@@ -213,9 +192,16 @@ def anti_join(spark, d):
 
 @query("""select source_domain, item_id, lag(item_id) over (partition by source_domain order by collected_at, item_id) as previous_item from feed_item where source_domain is not null""")
 def previous_value(spark, d):
-    """The latest earlier row of the same key."""
-    w = Window.partitionBy("source_domain").orderBy("collected_at", "item_id")
-    return table(spark, d, "feed_item").where("source_domain is not null").select("source_domain", "item_id", F.lag("item_id").over(w).alias("previous_item"))
+    """The latest earlier row of the same key.
+
+    The window is over a key's day, so a hot key is spread; the first row of a day takes the last of the key's day before.
+    """
+    f = table(spark, d, "feed_item").where("source_domain is not null").select("source_domain", "item_id", "collected_at", F.to_date("collected_at").alias("day"))
+    inside = F.lag("item_id").over(Window.partitionBy("source_domain", "day").orderBy("collected_at", "item_id"))
+    last = f.groupBy("source_domain", "day").agg(F.max_by("item_id", F.struct("collected_at", "item_id")).alias("last"))
+    last = last.select("source_domain", "day", F.lag("last").over(Window.partitionBy("source_domain").orderBy("day")).alias("before"))
+    r = f.withColumn("inside", inside).join(last.withColumnsRenamed({"source_domain": "_s", "day": "_d"}), (F.col("source_domain") == F.col("_s")) & F.col("day").eqNullSafe(F.col("_d")))
+    return r.select("source_domain", "item_id", F.coalesce("inside", "before").alias("previous_item"))
 
 
 @query(f"""with {INC} select coalesce(geocode_method, 'unresolved') as method, count(*) as n, count(lat) as with_lat, count(*) filter (where fatalities > 0) as fatal, round(avg(geocode_confidence), 2) as avg_confidence from inc group by 1""")
@@ -308,10 +294,10 @@ def paginated(spark, d):
     return table(spark, d, "hotspot").where("status is not null").select("id", "priority_score").orderBy(F.desc_nulls_last("priority_score"), "id").offset(20).limit(20)
 
 
-@query("""select id from hotspot where admin_state = 'Marvela' and priority_score >= 20 and incident_count >= 2 and list_contains(dominant_defects, 'potholes_or_broken_surface')""")
+@query("""select id from hotspot where admin_state = 'Sindhara Pradesh' and priority_score >= 20 and incident_count >= 2 and list_contains(dominant_defects, 'missing_crash_barrier_or_guardrail')""")
 def dynamic_filters(spark, d):
     """A conjunction folded from the filters that are set."""
-    wanted = {"state": "Marvela", "min_score": 20, "repeat_only": True, "defect": "potholes_or_broken_surface", "district": None}
+    wanted = {"state": "Sindhara Pradesh", "min_score": 20, "repeat_only": True, "defect": "missing_crash_barrier_or_guardrail", "district": None}
     tests = {"state": lambda v: F.col("admin_state") == v, "district": lambda v: F.col("admin_district") == v, "min_score": lambda v: F.col("priority_score") >= v, "repeat_only": lambda v: F.col("incident_count") >= 2, "defect": lambda v: F.array_contains("dominant_defects", v)}
     cond = F.lit(True)
     for k, v in wanted.items():
@@ -435,7 +421,6 @@ def cluster_aggregates(spark, d):
     return c.join(pts, "id").join(i, "id").groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("lat"), 6).alias("lat"), F.round(F.avg("lon"), 6).alias("lon"), F.sum(F.coalesce("fatalities", F.lit(0))).alias("fatalities"), F.min("crash_date").alias("first_date"), F.max("crash_date").alias("last_date"))
 
 
-HAV = lambda a, b: f"2 * 6371008.8::double * asin(sqrt(least(1.0::double, pow(sin(radians({b}.lat - {a}.lat) / 2), 2) + cos(radians({a}.lat)) * cos(radians({b}.lat)) * pow(sin(radians({b}.lon - {a}.lon) / 2), 2))))"
 
 
 @query(f"""with {PTS}, {SPOTS}, m as (select pt.id, sp.id as hotspot_id, round({HAV("pt", "sp")}, 3) as dist_m from pt join sp on abs(pt.lat - sp.lat) < 0.01 and {HAV("pt", "sp")} <= 300),

@@ -44,16 +44,28 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
+def run_dir(spark: SparkSession) -> str:
+    """This application's own folder in the shared one; drop_scratch() removes it."""
+    return f"{shared_dir(spark)}/roadloom-{spark.sparkContext.applicationId}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete what the session's operators have written to the shared folder (their results can no longer be read)."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    path = hadoop.Path(run_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def persist_table(df: DataFrame, label: str) -> DataFrame:
     """Write df to the shared folder and read it back: cuts lineage and survives the loss of executors."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    return f"{run_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def bounded_sample(df: DataFrame, by: str, size: int) -> list:
