@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EARTH_RADIUS_M = 6371008.8
@@ -15,38 +15,41 @@ LAT_LON = rf"^\s*{_NUM}\s*[,;]\s*{_NUM}\s*$"
 WKB_POINT = r"(?i)^\s*(?:01(?:01000000|010000A0|01000080|01000040|01000020E6100000|010000A0E6100000)|00(?:00000001|20000001000010E6))[0-9A-F]{32,}\s*$"
 
 
-def _ieee_double(big_endian_hex: Column) -> Column:
-    """The double whose 8 bytes are written as 16 hex digits, by exact arithmetic (no Python, no JVM class)."""
-    hi = F.conv(F.left(big_endian_hex, F.lit(8)), 16, 10).try_cast("bigint")
-    lo = F.conv(F.right(big_endian_hex, F.lit(8)), 16, 10).try_cast("bigint")
-    sign = F.when(F.shiftright(hi, 31) == 1, -1.0).otherwise(1.0)
-    exponent = F.shiftright(hi, 20).bitwiseAND(F.lit(2047))
-    mantissa = F.shiftleft(hi.bitwiseAND(F.lit(1048575)), 32) + lo
-    normal = (mantissa + F.lit(1 << 52)).cast("double") * F.pow(F.lit(2.0), (exponent - 1075).cast("double"))
-    return F.when(exponent == 2047, None).when(exponent == 0, mantissa.cast("double") * F.lit(2.0**-1074)).otherwise(normal) * sign
-
-
 def _swap(h: Column) -> Column:
     return F.concat(*[F.substring(h, 15 - 2 * i, 2) for i in range(8)])
 
 
-def point(text: Column) -> Column:
-    """struct(lon, lat) of a point written as WKT, EWKT, (E)WKB hex or "lat, lon".
+def with_point(df: DataFrame, text: Column, lat: str = "lat", lon: str = "lon") -> DataFrame:
+    """df with lat and lon of a point written as WKT, EWKT, (E)WKB hex or "lat, lon".
 
-    Null for null, blank, POINT EMPTY, the point 0 0, unreadable text and coordinates off the globe.
+    Null for null, blank, POINT EMPTY, the point 0 0, unreadable text and coordinates off the globe.  A double in WKB is
+    read from its 16 hex digits by exact arithmetic.  The steps are projections of their own, so each pattern runs once.
     """
-    t = F.trim(text)
-    wkt = t.rlike(WKT_POINT)
-    pair = t.rlike(LAT_LON)
-    wkb = t.rlike(WKB_POINT)
+    keep = [c for c in df.columns if c not in (lat, lon)]
+    df = df.select(*keep, F.trim(text).alias("_pt_t"))
+    t = F.col("_pt_t")
+    kind = F.when(t.rlike(WKT_POINT), "wkt").when(t.rlike(LAT_LON), "pair").when(t.rlike(WKB_POINT), "wkb")
+    df = df.select("*", kind.alias("_pt_k"))
+    at = F.when(F.upper(F.substring(t, 3, 8)).isin("01000020", "010000A0", "20000001"), 19).otherwise(11)
+    df = df.select("*", *[F.when(F.col("_pt_k") == "wkb", t.substr(at + 16 * i, F.lit(16))).alias(n) for i, n in enumerate(("_pt_rx", "_pt_ry"))], F.when(F.col("_pt_k") == "wkt", F.split(F.regexp_replace(t, WKT_POINT, "$1 $2"), " ")).when(F.col("_pt_k") == "pair", F.split(F.regexp_replace(t, LAT_LON, "$2 $1"), " ")).alias("_pt_n"))
     big = F.left(t, F.lit(2)) == "00"
-    srid = F.upper(F.substring(t, 3, 8)).isin("01000020", "010000A0", "20000001")
-    start = F.when(srid, 19).otherwise(11)
-    x, y = t.substr(start, F.lit(16)), t.substr(start + 16, F.lit(16))
-    lon = F.when(wkt, F.regexp_extract(t, WKT_POINT, 1).try_cast("double")).when(pair, F.regexp_extract(t, LAT_LON, 2).try_cast("double")).when(wkb, _ieee_double(F.when(big, x).otherwise(_swap(x))))
-    lat = F.when(wkt, F.regexp_extract(t, WKT_POINT, 2).try_cast("double")).when(pair, F.regexp_extract(t, LAT_LON, 1).try_cast("double")).when(wkb, _ieee_double(F.when(big, y).otherwise(_swap(y))))
-    p = F.struct(lon.alias("lon"), lat.alias("lat"))
-    return F.when(lon.between(-180, 180) & lat.between(-90, 90) & ~((lon == 0) & (lat == 0)), p)
+    df = df.select("*", *[F.when(big, F.col(n)).otherwise(_swap(F.col(n))).alias(n[:4] + "b" + n[-1]) for n in ("_pt_rx", "_pt_ry")])
+    halves = [(f"_pt_{h}{c}", F.conv(F.substring(f"_pt_b{c}", s, 8), 16, 10).try_cast("bigint")) for c in "xy" for h, s in (("h", 1), ("l", 9))]
+    df = df.select("*", *[v.alias(n) for n, v in halves])
+
+    def double(c: str) -> Column:
+        hi, lo = F.col(f"_pt_h{c}"), F.col(f"_pt_l{c}")
+        exponent = F.shiftright(hi, 20).bitwiseAND(F.lit(2047))
+        mantissa = (F.shiftleft(hi.bitwiseAND(F.lit(1048575)), 32) + lo).cast("double")
+        size = F.when(exponent == 0, mantissa * F.lit(2.0**-1074)).when(exponent < 2047, (mantissa + F.lit(float(1 << 52))) * F.pow(F.lit(2.0), (exponent - 1075).cast("double")))
+        return size * F.when(F.shiftright(hi, 31) == 1, -1.0).otherwise(1.0)
+
+    value = [F.when(F.col("_pt_k") == "wkb", double(c)).otherwise(F.get("_pt_n", F.lit(i)).try_cast("double")) for i, c in enumerate("xy")]
+    df = df.select(*keep, value[0].alias("_pt_x"), value[1].alias("_pt_y"))
+    x, y = F.col("_pt_x"), F.col("_pt_y")
+    # non-deterministic: keeps a later filter on lat or lon from repeating the parsing
+    ok = (F.spark_partition_id() >= 0) & x.between(-180, 180) & y.between(-90, 90) & ~((x == 0) & (y == 0))
+    return df.select(*keep, F.when(ok, y).alias(lat), F.when(ok, x).alias(lon))
 
 
 def sphere_distance_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:

@@ -19,7 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geometry import home_cell, near_cells, point, sphere_distance_m
+from ..functions.geometry import home_cell, near_cells, sphere_distance_m, with_point
+from ..runtime import persist_table
 
 HOT_CELL = 2000
 #: Up to this many triangles (64 bytes each) one hierarchy is sent to every executor; more are joined by tile.
@@ -34,9 +35,8 @@ def located(df: DataFrame, id_col: str, geom_col: str) -> DataFrame:
     Null, empty or unreadable geometry and the point 0 0 are no location.  Should an id stand with several locations,
     each of them counts.
     """
-    once = F.spark_partition_id() >= 0  # non-deterministic: keeps the filter below from repeating the parsing
-    p = df.select(F.col(id_col).cast("bigint").alias("id"), F.when(once, point(F.col(geom_col))).alias("_p"))
-    return p.where(F.col("id").isNotNull() & F.col("_p").isNotNull()).select("id", F.col("_p.lat").alias("lat"), F.col("_p.lon").alias("lon")).distinct()
+    p = with_point(df.select(F.col(id_col).cast("bigint").alias("id"), F.col(geom_col).alias("_g")), F.col("_g"))
+    return p.where("id is not null and lat is not null").select("id", "lat", "lon").distinct()
 
 
 def within_distance(a: DataFrame, b: DataFrame, radius_m: float) -> DataFrame:
@@ -258,8 +258,8 @@ def containing_region(points: DataFrame, areas: DataFrame, id_col: str = "region
 
 def neighbourhood(incident: DataFrame, hotspot: DataFrame, areas: DataFrame, radius_m: float = 300.0) -> DataFrame:
     """(kind, key_a, key_b), smaller key first: near incidents, near hotspots, and the district around each incident."""
-    inc = located(incident, "id", "geom")
-    spots = located(hotspot, "id", "centroid_geom")
+    inc = persist_table(located(incident, "id", "geom"), "located")
+    spots = persist_table(located(hotspot, "id", "centroid_geom"), "located")
     pair = lambda df, kind, a, b: df.select(F.lit(kind).alias("kind"), F.least(a, b).alias("key_a"), F.greatest(a, b).alias("key_b"))
     parts = [
         pair(near_pairs(inc, radius_m), "incident", "id_a", "id_b"),

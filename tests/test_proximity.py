@@ -6,7 +6,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from roadloom.functions.geometry import point
+from roadloom.functions.geometry import with_point
 from roadloom.operators import proximity as P
 
 
@@ -22,12 +22,12 @@ def test_point_notations(spark):
         "0101000020E6100000BDE5EAC7265856404A1AED026F5E3140": (89.377367, 17.368881), "0020000001000010E6405401024C0A9A8E403155B95D843F95": (80.015759, 17.334860),
         "POINT EMPTY": None, "": None, "POINT (0 0)": None, "POINT (200 10)": None, "nonsense": None, "0101": None,
     }
-    rows = spark.createDataFrame([(k,) for k in [*cases, None]], "g string").select("g", point(F.col("g")).alias("p")).collect()
-    for r in rows:
+    df = spark.createDataFrame([(k, 0.0, "x") for k in [*cases, None]], "g string, lat double, _pt_n string")
+    for r in with_point(df.drop("_pt_n"), F.col("g")).collect():
         want = cases.get(r["g"])
-        assert (r["p"] is None) == (want is None), r
+        assert (r["lat"] is None) == (want is None) == (r["lon"] is None), r
         if want:
-            assert abs(r["p"]["lon"] - want[0]) < 1e-5 and abs(r["p"]["lat"] - want[1]) < 1e-5
+            assert abs(r["lon"] - want[0]) < 1e-5 and abs(r["lat"] - want[1]) < 1e-5
 
 
 def test_pairs_like_brute_force(spark, monkeypatch):
