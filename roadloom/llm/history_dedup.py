@@ -1,7 +1,7 @@
 """Each batch of articles against everything accepted before, without reading the history again.
 
-Accepted articles live in three persisted tables keyed for probing:
-  pages   (url_key, id)
+What is known lives in three persisted tables:
+  articles (id, url_key, representative): the page of each article and the cluster map; accepted ones represent themselves
   keys    (bk, hi, lo): blocking keys of place, week and one of four 16-bit bands of the hash; hashes at most 3 bits apart
           share a band
   times   (place, hi, lo, week, hour, t, id)
@@ -10,7 +10,7 @@ agrees in pairs of one page than in chance pairs), and the exact rule decides.
 meets per class at most the hours of three weeks, each with its smallest id, and opens single rows only of the two hours in
 which the time limit falls, so no pairs within a group of copies are made.  What repeats nothing accepted is resolved in
 order of id inside the batch; the representative of each new article is appended to the cluster map, old entries are
-never touched (an accepted article represents itself, so the map stays flat).
+never touched (so the map stays flat).
 """
 
 from __future__ import annotations
@@ -144,16 +144,17 @@ def in_order(rows: pa.Table) -> pa.Table:
     return pa.table({"id": pa.array([x["id"] for x in r], pa.int64()), "kept": pa.array(kept_by, pa.int64())})
 
 
-def resolve_batch(fresh: DataFrame, finish_rows: int = FINISH_ROWS) -> DataFrame:
+def resolve_batch(fresh: DataFrame, finish_rows: int = FINISH_ROWS, at_most: int | None = None) -> DataFrame:
     """(id, kept) of articles that repeat nothing accepted before, in order of id among themselves.
 
     Rounds: whoever has no smaller neighbour left is accepted, whoever then repeats an accepted one is a repeat; when few
-    enough rows are open they are finished in one task.  kept is taken at the end, over all accepted ones.
+    enough rows are open they are finished in one task (at once if there are at_most that many).  kept is taken at the
+    end, over all accepted ones.
     """
+    if at_most is not None and at_most <= finish_rows:
+        return persist_table(fresh.groupBy(F.lit("all")).applyInArrow(in_order, _OUT), "ordered")
     left, accepted, repeats = persist_table(fresh, "open"), None, None
-    first = True
     while left.count() > finish_rows:
-        first = False
         m = probe(left, *keyed(left)).select("id", F.least("by_url", "by_hash").alias("a")).where("a < id").select("id")
         free = persist_table(left.join(m, "id", "left_anti"), "free")
         accepted = free if accepted is None else persist_table(accepted.unionByName(free), "accepted")
@@ -162,7 +163,7 @@ def resolve_batch(fresh: DataFrame, finish_rows: int = FINISH_ROWS) -> DataFrame
         repeats = persist_table(gone if repeats is None else repeats.unionByName(gone), "repeats")
         left = persist_table(left.join(free.select("id"), "id", "left_anti").join(hit, "id", "left_anti"), "open")
     done = persist_table(left.groupBy(F.lit("all")).applyInArrow(in_order, _OUT), "ordered")
-    if first:
+    if accepted is None:
         return done
     accepted = persist_table(accepted.unionByName(left.join(done.where("kept is null"), "id", "left_semi")), "accepted")
     repeats = repeats.unionByName(left.join(done.where("kept is not null"), "id", "left_semi"))
@@ -185,26 +186,36 @@ class AcceptedArticles:
     def read(self, name: str) -> DataFrame:
         return self.spark.read.schema(self.schemas[name]).parquet(f"{self.root}/{name}")
 
-    def _store(self, accepted: DataFrame) -> None:
-        for name, df in zip(("pages", "keys", "times"), keyed(accepted)):
-            self._append(name, df)
-        self._append("clusters", accepted.select("id", F.col("id").alias("representative")))
+    def _store(self, batch: DataFrame, kept: DataFrame | None) -> None:
+        """Append a batch; kept (id, kept) are those of it that repeat something."""
+        own = batch.select("id", "url_key")
+        if kept is None:
+            accepted, mapped = batch, own.withColumn("representative", F.col("id"))
+        else:
+            accepted = batch.join(kept.select("id"), "id", "left_anti")
+            mapped = own.join(kept, "id", "left").select("id", "url_key", F.coalesce("kept", "id").alias("representative"))
+        self._append("articles", mapped)
+        keys, times = keyed(accepted)[1:]
+        self._append("times", times)
+        self._append("keys", keys)
 
     def load_history(self, history: DataFrame) -> None:
         """Accept a whole table as it is."""
-        self._store(history)
+        self._store(history, None)
 
-    def accept(self, batch: DataFrame) -> DataFrame:
-        """(kept_id, dup_id) of the batch's articles that repeat an accepted one."""
-        pages = self.read("pages").groupBy("url_key").agg(F.min("id").alias("id"))
-        old = probe(batch, pages, self.read("keys"), self.read("times"))
+    def pages(self) -> DataFrame:
+        """(url_key, id): the smallest accepted article of each page."""
+        a = self.read("articles").where("id = representative and url_key is not null")
+        return a.groupBy("url_key").agg(F.min("id").alias("id"))
+
+    def accept(self, batch: DataFrame, at_most: int | None = None) -> DataFrame:
+        """(kept_id, dup_id) of the batch's articles that repeat an accepted one.  at_most: a known bound of its rows."""
+        old = probe(batch, self.pages(), self.read("keys"), self.read("times"))
         old = persist_table(old.select("id", F.least("by_url", "by_hash").alias("kept")), "old")
-        fresh = batch.join(old.select("id"), "id", "left_anti")
-        inner = resolve_batch(fresh, self.finish_rows)
-        self._store(batch.join(inner.where("kept is null"), "id", "left_semi"))
-        links = persist_table(old.unionByName(inner.where("kept is not null")), "links")
-        self._append("clusters", links.select("id", F.col("kept").alias("representative")))
-        return links.select(F.col("kept").alias("kept_id"), F.col("id").alias("dup_id"))
+        inner = resolve_batch(batch.join(old.select("id"), "id", "left_anti"), self.finish_rows, at_most)
+        kept = old.unionByName(inner.where("kept is not null"))
+        self._store(batch, kept)
+        return kept.select(F.col("kept").alias("kept_id"), F.col("id").alias("dup_id"))
 
 
 def deduplicate(article: DataFrame, outlet: DataFrame, finish_rows: int = FINISH_ROWS) -> tuple[DataFrame, AcceptedArticles, DataFrame]:
@@ -213,9 +224,9 @@ def deduplicate(article: DataFrame, outlet: DataFrame, finish_rows: int = FINISH
     rows = persist_table(prepare(article, outlet), "prepared")
     state = AcceptedArticles(spark, finish_rows)
     state.load_history(rows.where("batch_no <= 0"))
-    links = spark.createDataFrame([], "kept_id bigint, dup_id bigint")
-    for n in [r[0] for r in rows.where("batch_no > 0").select("batch_no").distinct().orderBy("batch_no").collect()]:
-        links = links.unionByName(state.accept(rows.where(F.col("batch_no") == n)))
+    for r in rows.where("batch_no > 0").groupBy("batch_no").count().orderBy("batch_no").collect():
+        state.accept(rows.where(F.col("batch_no") == r["batch_no"]), r["count"])
+    links = state.read("articles").where("id <> representative").select(F.col("representative").alias("kept_id"), F.col("id").alias("dup_id"))
     return links, state, rows
 
 

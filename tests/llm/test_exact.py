@@ -101,7 +101,7 @@ def test_batches_against_history(spark, finish):
     for n in range(1, max(r["batch_no"] for r in rows) + 1):
         got |= {tuple(r) for r in state.accept(df.where(F.col("batch_no") == n)).collect()}
     assert got == dedup_by_hand(rows) and len(got) > 20
-    clusters = {r["id"]: r["representative"] for r in state.read("clusters").collect()}
+    clusters = {r["id"]: r["representative"] for r in state.read("articles").collect()}
     assert set(clusters) == {r["id"] for r in rows} and all(clusters[d] == k for k, d in got) and all(clusters[k] == k for k, _ in got)
 
 
