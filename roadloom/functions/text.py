@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 # Words that stand for a missing value in stringly payloads.
 NULL_WORDS = ["", "null", "none", "n/a", "na", "nil", "unknown", "-"]
-WINDOW_US = 7 * 86400 * 1000000
 
 
 def null_words_to_null(c: Column) -> Column:
@@ -64,22 +63,3 @@ def hamming(a: Column, b: Column) -> Column:
     """Bits in which two hashes of 16 hex digits differ; null unless both are such hashes."""
     (ah, al), (bh, bl) = halves(a), halves(b)
     return F.bit_count(ah.bitwiseXOR(bh)) + F.bit_count(al.bitwiseXOR(bl))
-
-
-def near_duplicate_rows(article: DataFrame, max_bits: int = 3) -> DataFrame:
-    """(id, other): each article and the earlier ones within max_bits (up to 3) in its locality and seven days of fetching.
-
-    Locality is the district, or the state of an article without one; articles with neither, or without a hash, have none.
-    Blocking: locality, week and one of four 16-bit bands.
-    """
-    e = lambda c: F.nullif(F.trim(c), F.lit(""))
-    hi, lo = halves(F.col("dedup_hash"))
-    a = article.select("id", e("district").alias("dis"), e("state").alias("sta"), F.unix_micros("fetched_at").alias("t"), hi.alias("hi"), lo.alias("lo")).where("hi is not null and t is not null")
-    own = F.coalesce(F.concat(F.lit("d:"), "dis"), F.concat(F.lit("s:"), "sta"))
-    bands = F.array(*[F.named_struct(F.lit("i"), F.lit(i), F.lit("v"), x) for i, x in enumerate([F.shiftright("hi", 16), F.col("hi").bitwiseAND(F.lit(65535)), F.shiftright("lo", 16), F.col("lo").bitwiseAND(F.lit(65535))])])
-    new = a.select("id", "t", "hi", "lo", own.alias("place"), F.explode(bands).alias("band")).where("place is not null").withColumn("week", F.explode(F.sequence(F.floor(F.col("t") / WINDOW_US) - 1, F.floor(F.col("t") / WINDOW_US) + 1)))
-    old = a.select(F.col("id").alias("other"), F.col("t").alias("t2"), F.col("hi").alias("hi2"), F.col("lo").alias("lo2"), F.explode(F.array_compact(F.array(F.concat(F.lit("d:"), "dis"), F.concat(F.lit("s:"), "sta")))).alias("place"), bands.alias("bands"), F.floor(F.col("t") / WINDOW_US).alias("week"))
-    old = old.withColumn("band", F.explode("bands")).drop("bands")
-    bits = F.bit_count(F.col("hi").bitwiseXOR(F.col("hi2"))) + F.bit_count(F.col("lo").bitwiseXOR(F.col("lo2")))
-    j = new.join(old, ["place", "week", "band"]).where((F.col("other") < F.col("id")) & (F.abs(F.col("t") - F.col("t2")) <= WINDOW_US) & (bits <= max_bits))
-    return j.select("id", "other").distinct()

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.geometry import ellipsoid_distance_m, mercator
-from ..functions.text import coerce_int, near_duplicate_rows, outlet_tier, url_host
+from ..functions.text import coerce_int, outlet_tier, url_host
 from ..operators.components import dbscan
+from ..operators.hash_window import near_duplicates as near_hashes
 from ..operators.proximity import located, within_distance
 from ..operators.scoring import WEIGHTS, score_components, tier, total_score
 from ..runtime import persist_table, table
@@ -258,20 +259,20 @@ def outlet_tiers(spark, d):
     return outlet_tier(table(spark, d, "feed_item"), table(spark, d, "outlet"))
 
 
-@query("""select a.id, count(*) as earlier from source_article a join source_article b on b.id < a.id and b.dedup_hash = a.dedup_hash and a.dedup_hash <> ''
+@query("""select a.id, min(b.id) as first_like_it from source_article a join source_article b on b.id < a.id and b.dedup_hash = a.dedup_hash and a.dedup_hash <> ''
 and (case when nullif(a.district, '') is not null then nullif(b.district, '') = a.district else nullif(b.state, '') = nullif(a.state, '') end) and abs(epoch_us(a.fetched_at) - epoch_us(b.fetched_at)) <= 604800000000 group by 1""")
 def exact_duplicates(spark, d):
-    """Earlier articles with the same hash in the same locality within seven days of fetching."""
-    return near_duplicate_rows(table(spark, d, "source_article"), max_bits=0).groupBy("id").agg(F.count(F.lit(1)).alias("earlier"))
+    """The first earlier article with the same hash in the same locality within seven days of fetching."""
+    return near_hashes(table(spark, d, "source_article"), max_bits=0)
 
 
-@query(f"""select a.id, min(b.id) as first_like_it, count(*) as earlier from source_article a join source_article b on b.id < a.id and a.dedup_hash <> '' and b.dedup_hash <> ''
+@query(f"""select a.id, min(b.id) as first_like_it from source_article a join source_article b on b.id < a.id and a.dedup_hash <> '' and b.dedup_hash <> ''
 and (case when nullif(a.district, '') is not null then nullif(b.district, '') = a.district else nullif(b.state, '') = nullif(a.state, '') end)
 and bit_count(xor(('0x' || substr(a.dedup_hash, 1, 8))::bigint, ('0x' || substr(b.dedup_hash, 1, 8))::bigint)) + bit_count(xor(('0x' || substr(a.dedup_hash, 9, 8))::bigint, ('0x' || substr(b.dedup_hash, 9, 8))::bigint)) <= 3
 and abs(epoch_us(a.fetched_at) - epoch_us(b.fetched_at)) <= 604800000000 group by 1""")
 def near_duplicates(spark, d):
-    """Earlier articles within three bits in the same locality and week, by four-band blocking."""
-    return near_duplicate_rows(table(spark, d, "source_article"), max_bits=3).groupBy("id").agg(F.min("other").alias("first_like_it"), F.count(F.lit(1)).alias("earlier"))
+    """The first earlier article within three bits in the same locality and week, by four-band blocking."""
+    return near_hashes(table(spark, d, "source_article"))
 
 
 @query(f"""with {INC}, {LINKS} select i.id, count(l.source_article_id) as n_sources, coalesce(string_agg(cast(l.source_article_id as varchar), ',' order by l.source_article_id), '') as sources from inc i left join lnk l on l.incident_id = i.id group by 1""")

@@ -5,9 +5,10 @@ import random
 
 from pyspark.sql import functions as F
 
-from roadloom.functions.text import coerce_int, hamming, near_duplicate_rows, simhash, url_host
+from roadloom.functions.text import coerce_int, hamming, simhash, url_host
 from roadloom.operators.components import connected_components, dbscan
 from roadloom.operators.evidence import NO_DEFECT, mentions, valid_claims
+from roadloom.operators.hash_window import near_duplicates
 from roadloom.operators.geocoding import ladder
 from roadloom.operators.merging import final_keepers, greedy_merges, merge_rounds
 from roadloom.operators.scoring import WEIGHTS, score_components, tier, total_score
@@ -111,7 +112,7 @@ def test_locality_rule(spark):
     t = "2026-01-01 00:00:00"
     rows = [(1, "D", "S", t), (2, "D", "S", t), (3, None, "S", t), (4, None, None, t), (5, "E", "S", t), (6, "D", "S", "2026-02-01 00:00:00")]
     a = spark.createDataFrame([(i, d, s, x, "00000000000000ff") for i, d, s, x in rows], "id int, district string, state string, x string, dedup_hash string").withColumn("fetched_at", F.to_timestamp("x"))
-    assert {tuple(r) for r in near_duplicate_rows(a).collect()} == {(2, 1), (3, 1), (3, 2)}
+    assert {tuple(r) for r in near_duplicates(a).collect()} == {(2, 1), (3, 1)}
 
 
 def test_files(spark, tmp_path):
