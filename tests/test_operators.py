@@ -43,6 +43,29 @@ def test_dbscan_core_border_noise(spark):
     assert {r[0]: r[1] for r in dbscan(df, 231.0, min_points=3).collect()} == {1: 1, 2: 1, 3: 1, 4: 1, 5: None, 6: 1}
 
 
+def test_reach_like_brute_force(spark):
+    rng = random.Random(6)
+    pts = [(i, 10 + rng.random() * 0.03, 20 + rng.random() * 0.03) for i in range(220)]
+    pts += [(1000 + i, 10.01, 20.01) for i in range(40)]  # one pin
+    import math
+
+    xy = {i: (6378137.0 * math.radians(o), 6378137.0 * math.log(math.tan(math.pi / 4 + math.radians(a) / 2))) for i, a, o in pts}
+    root = {i: i for i in xy}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in xy:
+        for j in xy:
+            if i < j and math.dist(xy[i], xy[j]) <= 231.0:
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    got = {r[0]: r[1] for r in dbscan(spark.createDataFrame(pts, "id bigint, lat double, lon double"), 231.0).collect()}
+    assert got == {i: find(i) for i in xy} and 5 < len(set(got.values())) < 200
+
+
 def sequential(pairs):
     gone, out = set(), set()
     for k, m in sorted(pairs):
