@@ -19,12 +19,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import hash_window
+from ..operators.hash_window import MAX_BITS, WINDOW_US
 from ..operators.instants import with_article_instant
 from ..runtime import persist_table, scratch_path
 
-MAX_BITS = 3
-WINDOW_US = 7 * 86400 * 1000000
-WEEK_US, HOUR_US = WINDOW_US, 3600 * 1000000
 #: Up to this many unresolved rows of a batch (about 100 bytes each) are put in order in one task; more go in rounds.
 FINISH_ROWS = 100_000
 # Query parameters that do not name a page.
@@ -63,53 +62,17 @@ def prepare(article: DataFrame, outlet: DataFrame) -> DataFrame:
     return a.groupBy("id").agg(F.min(F.struct(*[c for c in a.columns if c != "id"])).alias("s")).select("id", "s.*")
 
 
-def _place(level: str, name: Column) -> Column:
-    return F.when(name.isNotNull(), F.concat(F.lit(level + ":"), name))
-
-
-def _own_place() -> Column:
-    """Where a new article looks: its district, else its state."""
-    return F.coalesce(_place("d", F.col("district")), _place("s", F.col("state")))
-
-
-def _bands(week: Column) -> Column:
-    parts = [F.shiftright("hi", 16), F.col("hi").bitwiseAND(F.lit(65535)), F.shiftright("lo", 16), F.col("lo").bitwiseAND(F.lit(65535))]
-    return F.array(*[F.xxhash64(F.col("place"), week, F.lit(i), p) for i, p in enumerate(parts)])
-
-
-def _week(t: Column) -> Column:
-    return F.floor(t / WEEK_US)
-
-
 def keyed(accepted: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The three tables of accepted articles."""
     pages = accepted.where(F.col("url_key").isNotNull()).groupBy("url_key").agg(F.min("id").alias("id"))
-    h = accepted.where("hi is not null and t is not null").withColumn("place", F.explode(F.array_compact(F.array(_place("d", F.col("district")), _place("s", F.col("state"))))))
-    times = h.select("place", "hi", "lo", _week(F.col("t")).alias("week"), F.floor(F.col("t") / HOUR_US).alias("hour"), "t", "id")
-    keys = times.select("place", "hi", "lo", "week").distinct().select(F.explode(_bands(F.col("week"))).alias("bk"), "hi", "lo").distinct()
+    keys, times = hash_window.keyed(accepted)
     return pages, keys, times
 
 
 def probe(new: DataFrame, pages: DataFrame, keys: DataFrame, times: DataFrame) -> DataFrame:
     """(id, by_url, by_hash): the smallest accepted id each new article repeats in either way; no row without one."""
     by_url = new.where(F.col("url_key").isNotNull()).select("id", "url_key").join(pages.withColumnRenamed("id", "a"), "url_key").groupBy("id").agg(F.min("a").alias("by_url"))
-    n = new.withColumn("place", _own_place()).where("hi is not null and t is not null and place is not null").select("id", "place", "hi", "lo", "t", _week(F.col("t")).alias("week"))
-    classes = n.select("place", "hi", "lo", "week").distinct().withColumn("aw", F.explode(F.sequence(F.col("week") - 1, F.col("week") + 1)))
-    c = classes.withColumn("bk", F.explode(_bands(F.col("aw"))))
-    k = keys.select("bk", F.col("hi").alias("ahi"), F.col("lo").alias("alo"))
-    bits = F.bit_count(F.col("hi").bitwiseXOR(F.col("ahi"))) + F.bit_count(F.col("lo").bitwiseXOR(F.col("alo")))
-    near = c.join(k, "bk").where(bits <= MAX_BITS).select("place", "hi", "lo", "week", "aw", "ahi", "alo").distinct()
-    hours = times.groupBy("place", "hi", "lo", "week", "hour").agg(F.min("id").alias("a"), F.min("t").alias("t0"), F.max("t").alias("t1"))
-    hours = hours.select("place", F.col("hi").alias("ahi"), F.col("lo").alias("alo"), F.col("week").alias("aw"), "hour", "a", "t0", "t1")
-    met = n.join(near, ["place", "hi", "lo", "week"]).join(hours, ["place", "ahi", "alo", "aw"])
-    met = met.where((F.col("t1") >= F.col("t") - WINDOW_US) & (F.col("t0") <= F.col("t") + WINDOW_US))
-    inside = (F.col("t0") >= F.col("t") - WINDOW_US) & (F.col("t1") <= F.col("t") + WINDOW_US)
-    whole = met.where(inside).select("id", "a")
-    rows = times.select("place", F.col("hi").alias("ahi"), F.col("lo").alias("alo"), F.col("week").alias("aw"), "hour", F.col("t").alias("ta"), F.col("id").alias("ra"))
-    rows = rows.groupBy("place", "ahi", "alo", "aw", "hour", "ta").agg(F.min("ra").alias("ra"))
-    edge = met.where(~inside).select("id", "t", "place", "ahi", "alo", "aw", "hour").join(rows, ["place", "ahi", "alo", "aw", "hour"])
-    edge = edge.where(F.abs(F.col("t") - F.col("ta")) <= WINDOW_US).select("id", F.col("ra").alias("a"))
-    by_hash = whole.unionByName(edge).groupBy("id").agg(F.min("a").alias("by_hash"))
+    by_hash = hash_window.first_near(new, keys, times).withColumnRenamed("first", "by_hash")
     return by_url.join(by_hash, "id", "full_outer")
 
 
@@ -256,7 +219,7 @@ def learn_weights(rows: DataFrame) -> dict[tuple[str, str], float]:
     whole = F.struct(*[F.col(c) for c in rows.columns])
     ends = lambda g: g.agg(F.min(whole).alias("x"), F.max(whole).alias("y")).where("x.id < y.id")
     same = ends(rows.where("url_key is not null").groupBy("url_key"))
-    chance = ends(rows.where("state is not null and t is not null").groupBy("state", _week(F.col("t"))))
+    chance = ends(rows.where("state is not null and t is not null").groupBy("state", hash_window.week(F.col("t"))))
     tall = lambda df, kind: df.select(F.lit(kind).alias("kind"), F.explode(F.map_from_entries(F.array(*[F.struct(F.lit(k), v) for k, v in _levels("x", "y").items()]))).alias("field", "level"))
     counts = tall(same, "m").unionByName(tall(chance, "u")).groupBy("kind", "field", "level").agg(F.count(F.lit(1)).alias("n")).collect()
     n = {(r["kind"], r["field"], r["level"]): r["n"] for r in counts}
