@@ -167,3 +167,15 @@ def test_mixture(spark):
         if total == 10**9:
             assert all(rep[s]["budget"] == rep[s]["tokens"] * most[s] for s in "abc")
     assert mixture.report(d.limit(0), t).agg(F.sum("chosen_tokens")).first()[0] == 0
+
+
+def test_empty_and_odd_tables(spark):
+    outlet = spark.createDataFrame([], "name string, website string, tz string, date_order string")
+    cols = "id bigint, batch_no int, url string, outlet_name string, district string, state string, published_at string, dedup_hash string, t int, place string"
+    links, state, rows = H.deduplicate(spark.createDataFrame([], cols), outlet)
+    assert links.count() == 0 and H.scored_links(links, rows).count() == 0
+    odd = [(1, None, None, None, None, None, None, None, 0, "x"), (1, 0, "http://a/1", None, "D", None, "2025-01-01", "zz", 0, "x"), (2, 1, " ", "", "", "", "", "", 0, "x"), (None, 1, "http://a/1", None, "D", None, "2025-01-01", "ff" * 8, 0, "x"), (3, 2, "http://a/1/", "A", "D", "S", "x" * 9000, "ff" * 8, 0, "x"), (4, 2, "http://A/1", "A", "D", "S", "x" * 9000, "ff" * 8, 0, "x")]
+    links, state, rows = H.deduplicate(spark.createDataFrame(odd, cols), outlet)
+    assert sorted(r["id"] for r in state.read("articles").collect()) == [1, 2, 3, 4]
+    assert {tuple(r) for r in links.collect()} == {(3, 4)}  # of the two rows of id 1 the one without url counts
+    assert tokens.encode(spark.createDataFrame([], "doc_id bigint, text string, ids int")).count() == 0

@@ -156,3 +156,8 @@ def test_scores_offsets_and_rates(spark):
     assert hit["score"] >= toxicity.LEAST_SCORE and rows[2][2][hit["spans"][0]["start"] : hit["spans"][0]["end"]] == bad
     rates = {r["source"]: (r["docs"], r["offending"]) for r in toxicity.source_rates(df).collect()}
     assert rates == {"a": (3, 1), None: (2, 0)}
+
+
+def test_no_documents(spark):
+    none = spark.createDataFrame([], "doc_id bigint, source string, text string")
+    assert toxicity.score(none).count() == 0 and toxicity.source_rates(none).count() == 0
