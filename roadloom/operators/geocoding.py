@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Caps of confidence for hits that could not be verified, and the span in km beyond which a pin is vague.
+# Caps of confidence for hits that could not be verified, the span in km beyond which a pin is vague, the pattern
+# of coordinates in a text, words that lead a landmark, and the box that hits must lie in (south, north, west, east).
 UNANCHORED_CAP, UNVERIFIED_CAP, WIDE_CAP, WIDE_KM = 0.5, 0.55, 0.55, 6.0
 COORDS = r"(\d{1,2}\.\d{3,})[,\s]+(\d{2,3}\.\d{3,})"
 LEAD_WORDS = r"(?i)^(near|close to|opposite|समीप)\s+"
