@@ -2,8 +2,9 @@
 
 Sizes are tokens.  Of a source with n tokens and at most m repeats, at most n*m tokens can be used.  The budget of each
 source is its share of the total, cut at that limit and given to the others in proportion to their shares (water
-filling).  Without a wanted total the largest total is used at which no limit cuts a share, so the shares are exact up to
-the size of one document.
+filling).  NAMED as total is the tokens of the named sources, so that as much as they hold is chosen and what a capped
+source cannot give is repeated from the others.  Without a wanted total the largest total is used at which no limit cuts a
+share: the shares are exact up to the size of one document, but the source with the least room sizes everything.
 
 Within a source all complete epochs come first (every document once per epoch); the rest is an Efraimidis-Spirakis sample:
 documents in order of -ln(u)/w, w their quality weight and u a hash of their id, taken while the running sum of tokens
@@ -21,6 +22,8 @@ from .tokens import VOCABULARY, encode
 
 BINS = 4096
 FULL_WEIGHT_TOKENS = 64
+#: As total_tokens: all tokens of the sources with a share and a document that may be used.
+NAMED = "named"
 
 
 def sizes(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
@@ -33,7 +36,7 @@ def sizes(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     return counted.select("k.doc_id", "k.source", "n_tokens", (-F.log(u) / w).alias("key"))
 
 
-def budgets(per_source: DataFrame, target: DataFrame, total_tokens: int | None = None) -> DataFrame:
+def budgets(per_source: DataFrame, target: DataFrame, total_tokens: int | str | None = None) -> DataFrame:
     """(source, target_share, max_repeats, n_docs, tokens, budget) of every named source, 0 where it has no documents.
 
     Repeated rows of a source in target count once (largest share); shares that are null or not positive count as 0.
@@ -49,7 +52,12 @@ def budgets(per_source: DataFrame, target: DataFrame, total_tokens: int | None =
     before = by_ratio.rowsBetween(Window.unboundedPreceding, -1)
     j = j.withColumn("_cut", F.coalesce(F.sum(F.when(live, F.col("most"))).over(before), F.lit(0.0)))
     j = j.withColumn("_rest", F.sum(F.when(live, F.col("target_share"))).over(by_ratio.rowsBetween(0, Window.unboundedFollowing)))
-    wanted = F.lit(float(total_tokens)) if total_tokens is not None else F.min(F.when(live, F.col("_r"))).over(everything) * F.sum(F.when(live, F.col("target_share"))).over(everything)
+    if total_tokens == NAMED:
+        wanted = F.sum(F.when(live, F.col("tokens")).otherwise(0)).over(everything).cast("double")
+    elif total_tokens is not None:
+        wanted = F.lit(float(total_tokens))
+    else:
+        wanted = F.min(F.when(live, F.col("_r"))).over(everything) * F.sum(F.when(live, F.col("target_share"))).over(everything)
     j = j.withColumn("_total", F.least(wanted, F.sum(F.when(live, F.col("most")).otherwise(0.0)).over(everything)))
     # level: budget per share of the sources that are not cut
     level = F.when(live & (F.col("_cut") + F.col("_r") * F.col("_rest") >= F.col("_total")), (F.col("_total") - F.col("_cut")) / F.col("_rest"))
@@ -58,7 +66,7 @@ def budgets(per_source: DataFrame, target: DataFrame, total_tokens: int | None =
     return j.select("source", "target_share", "max_repeats", "n_docs", "tokens", F.floor(own + 0.5).cast("bigint").alias("budget"))
 
 
-def mix(docs: DataFrame, target: DataFrame, total_tokens: int | None = None, vocabulary: str = VOCABULARY) -> tuple[DataFrame, DataFrame]:
+def mix(docs: DataFrame, target: DataFrame, total_tokens: int | str | None = None, vocabulary: str = VOCABULARY) -> tuple[DataFrame, DataFrame]:
     """(chosen, budgets).  chosen: (doc_id, source, n_tokens, copies), one row per document with at least one copy.
 
     Documents without tokens (null or empty text) and of sources not named are never chosen.  Ties of the key go by
@@ -85,7 +93,7 @@ def mix(docs: DataFrame, target: DataFrame, total_tokens: int | None = None, voc
     return sure.unionByName(edge).where(F.col("copies") > 0), b
 
 
-def report(docs: DataFrame, target: DataFrame, total_tokens: int | None = None, vocabulary: str = VOCABULARY) -> DataFrame:
+def report(docs: DataFrame, target: DataFrame, total_tokens: int | str | None = None, vocabulary: str = VOCABULARY) -> DataFrame:
     """Per named source: target and reached share, tokens there and chosen, copies, highest repeat count."""
     chosen, b = mix(docs, target, total_tokens, vocabulary)
     got = chosen.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("copies")).alias("chosen_tokens"), F.sum("copies").alias("chosen_copies"), F.max("copies").alias("top_repeat"))

@@ -67,11 +67,11 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_mixture(spark: SparkSession, d: str) -> DataFrame:
-    return mixture.mix(table(spark, d, "documents"), table(spark, d, "source_target"))[0]
+    return mixture.mix(table(spark, d, "documents"), table(spark, d, "source_target"), mixture.NAMED)[0]
 
 
 def p9_shares(spark: SparkSession, d: str) -> DataFrame:
-    return mixture.report(table(spark, d, "documents"), table(spark, d, "source_target"))
+    return mixture.report(table(spark, d, "documents"), table(spark, d, "source_target"), mixture.NAMED)
 
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:

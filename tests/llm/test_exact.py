@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from roadloom.llm import history_dedup as H
-from roadloom.llm import mixture, repeated_lines, tokens
+from roadloom.llm import mixture, queries, repeated_lines, tokens
 from roadloom.runtime import tokenizer_file
 
 DAY = 86400 * 1_000_000
@@ -169,6 +169,21 @@ def test_mixture(spark):
     assert mixture.report(d.limit(0), t).agg(F.sum("chosen_tokens")).first()[0] == 0
 
 
+def test_registered_mixture_is_worth_the_named_sources(spark, tmp_path):
+    """A tiny source falls short at its limit instead of sizing the whole mixture; the others repeat to make it up."""
+    docs = [(i, s, "word " * 20) for i, s in enumerate(["tiny"] * 2 + ["big"] * 300 + ["mid"] * 60 + ["unnamed"] * 90)]
+    spark.createDataFrame(docs, "doc_id bigint, source string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([("tiny", 0.2, 1), ("big", 0.4, 2), ("mid", 0.4, 3), ("none", 0.1, 3)], "source string, target_share double, max_repeats int").write.parquet(f"{tmp_path}/source_target.parquet")
+    rep = {r["source"]: r for r in queries.p9_shares(spark, str(tmp_path)).collect()}
+    named = sum(r["tokens"] for r in rep.values())
+    assert abs(sum(r["chosen_tokens"] for r in rep.values()) - named) <= 60  # up to a document a source
+    assert rep["tiny"]["chosen_tokens"] == rep["tiny"]["tokens"] and rep["none"]["chosen_tokens"] == 0
+    # 360 documents' worth but tiny's 2: 180 each, that is three whole epochs of mid
+    assert rep["mid"]["top_repeat"] == 3 and abs(rep["big"]["chosen_tokens"] - rep["mid"]["chosen_tokens"]) <= 40
+    rows = queries.p9_mixture(spark, str(tmp_path)).collect()
+    assert sum(r["n_tokens"] * r["copies"] for r in rows) == sum(r["chosen_tokens"] for r in rep.values())
+
+
 def test_empty_and_odd_tables(spark):
     outlet = spark.createDataFrame([], "name string, website string, tz string, date_order string")
     cols = "id bigint, batch_no int, url string, outlet_name string, district string, state string, published_at string, dedup_hash string, t int, place string"
