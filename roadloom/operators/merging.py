@@ -46,13 +46,19 @@ def merge_rounds(rows: DataFrame, find_pairs: Callable[[DataFrame], DataFrame],
     return rows, all_merges
 
 
-def final_keepers(merges: DataFrame, max_rounds: int = 4) -> DataFrame:
-    """(merge, keep): each merged id with the id that is left in the end (a keeper may be merged in a later round)."""
-    m = merges.select("merge", "keep")
-    for _ in range(max_rounds):
-        nxt = merges.select(F.col("merge").alias("keep"), F.col("keep").alias("_next"))
-        m = m.join(nxt, "keep", "left").select("merge", F.coalesce("_next", "keep").alias("keep"))
-    return m
+def final_keepers(merges: DataFrame) -> DataFrame:
+    """(merge, keep): each merged id with the id that is left in the end.
+
+    A keeper may be merged later, in the same round too, so chains have any length.  Each step jumps from the keeper to its
+    keeper's keeper and halves the chains, until none is left to follow; every step is written to the shared folder.
+    """
+    m = persist_table(merges.select("merge", "keep"), "keepers")
+    for _ in range(64):  # chains of 2**64; merges that go in a circle never end
+        nxt = m.select(F.col("merge").alias("keep"), F.col("keep").alias("_next"))
+        if not m.join(nxt, "keep", "left_semi").limit(1).count():
+            return m
+        m = persist_table(m.join(nxt, "keep", "left").select("merge", F.coalesce("_next", "keep").alias("keep")), "keepers")
+    raise ValueError("merges go in a circle")
 
 
 def remap(children: DataFrame, merges: DataFrame, ref: str) -> DataFrame:

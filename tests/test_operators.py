@@ -10,7 +10,7 @@ from roadloom.operators.components import connected_components, dbscan
 from roadloom.operators.evidence import NO_DEFECT, mentions, valid_claims
 from roadloom.operators.hash_window import near_duplicates
 from roadloom.operators.geocoding import ladder
-from roadloom.operators.merging import final_keepers, greedy_merges, merge_rounds
+from roadloom.operators.merging import final_keepers, greedy_merges, merge_rounds, remap
 from roadloom.operators.scoring import WEIGHTS, score_components, tier, total_score
 from roadloom.sources.feeds import ArticleListSource, RssSource
 from roadloom.sources.files import KeyedTable, geojson_features, nested, read_csv, read_jsonl, read_keywords, read_nested_districts, write_csv_pack
@@ -95,6 +95,22 @@ def test_rounds_are_not_a_closure(spark):
     assert sorted(r[0] for r in left.collect()) == [1, 3] and [tuple(r) for r in final_keepers(merges).collect()] == [(2, 1)]
 
 
+def test_links_follow_chains_to_the_end(spark):
+    # ten reports of one place whose confidence rises with the id: one pass merges each into the next
+    rows = spark.createDataFrame([(i,) for i in range(10)], "id bigint")
+    pairs = spark.createDataFrame([(b, a) for b in range(10) for a in range(b)], "keep bigint, merge bigint")
+
+    def find(left):
+        return pairs.join(left.withColumnRenamed("id", "keep"), "keep", "left_semi").join(left.withColumnRenamed("id", "merge"), "merge", "left_semi").select("keep", "merge")
+
+    chain = spark.createDataFrame([(i + 1, i) for i in range(10)], "keep bigint, merge bigint")
+    assert {tuple(r) for r in final_keepers(chain).collect()} == {(i, 10) for i in range(10)}
+    left, merges = merge_rounds(rows, find)
+    children = spark.createDataFrame([(i, 100 + i) for i in range(12)], "incident_id bigint, source bigint")
+    alive = {r[0] for r in left.collect()}
+    assert {r[0] for r in remap(children, merges, "incident_id").collect()} == alive | {10, 11}
+
+
 def test_score_is_bounded_and_monotone(spark):
     raw = "id int, fatalities int, injuries int, inc_6mo int, days_since_last int, vulnerable_share double, max_severity double, n_sources int, avg_conf double"
     rows = [(0, None, None, None, None, None, None, None, None), (1, 100, 500, 50, 0, 1.0, 5.0, 20, 1.0), (2, 1, 0, 1, 10, 0.0, 1.0, 1, 0.5), (3, 2, 0, 1, 10, 0.0, 1.0, 1, 0.5), (4, 2, 0, 1, 90, 0.0, 1.0, 1, 0.5)]
