@@ -11,6 +11,10 @@ meets per class at most the hours of three weeks, each with its smallest id, and
 which the time limit falls, so no pairs within a group of copies are made.  What repeats nothing accepted is resolved in
 order of id inside the batch; the representative of each new article is appended to the cluster map, old entries are
 never touched (so the map stays flat).
+
+Where whole clusters are wanted (unite), a fourth table, roots (id, root, version), is a union-find over accepted articles:
+what a new article repeats is one cluster, the smallest root stays, and only the entries of clusters touched are written
+again, for all batches since it was last asked for.  Articles of the history unite in the same way, each with the smaller ids it repeats.
 """
 
 from __future__ import annotations
@@ -20,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import hash_window
+from ..operators.components import connected_components
 from ..operators.hash_window import MAX_BITS, WINDOW_US
 from ..operators.instants import with_article_instant
 from ..runtime import persist_table, scratch_path
@@ -134,11 +139,41 @@ def resolve_batch(fresh: DataFrame, finish_rows: int = FINISH_ROWS, at_most: int
     return persist_table(found.unionByName(accepted.select("id", F.lit(None).cast("bigint").alias("kept"))), "resolved")
 
 
+def page_edges(new: DataFrame, pages: DataFrame) -> DataFrame:
+    """(x, b), edges that join each new row to all smaller ids of its page, through the page's smallest id."""
+    firsts = pages.groupBy("url_key").agg(F.min("id").alias("b"))
+    met = new.where("url_key is not null").select("url_key", F.col("id").alias("x")).join(firsts, "url_key").where("b < x")
+    members = pages.join(met.groupBy("url_key").agg(F.min("b").alias("b"), F.max("x").alias("last")), "url_key").where("id < last")
+    return met.select("x", "b").unionByName(members.select(F.col("id").alias("x"), "b")).where("x <> b")
+
+
+def union_find(edges: pa.Table) -> pa.Table:
+    """(node, component) of edges (a, b) in one task; the smallest node is the root."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := root.setdefault(x, x)) != x:
+            root[x] = root[up]
+            x = up
+        return x
+
+    for a, b in zip(edges["a"].to_pylist(), edges["b"].to_pylist()):
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    nodes = sorted(root)
+    return pa.table({"node": pa.array(nodes, pa.int64()), "component": pa.array([find(x) for x in nodes], pa.int64())})
+
+
 class AcceptedArticles:
-    """The persisted state: accept() takes a batch of prepared articles, (dup) links come back and the state grows."""
+    """The persisted state: accept() takes a batch of prepared articles, (dup) links come back and the state grows.
 
-    def __init__(self, spark, finish_rows: int = FINISH_ROWS):
-        self.spark, self.finish_rows = spark, finish_rows
+    unite: keep what clusters() needs to unite what articles join by repeating several accepted ones; it takes only the
+    batches since its last call.
+    """
+
+    def __init__(self, spark, finish_rows: int = FINISH_ROWS, unite: bool = False):
+        self.spark, self.finish_rows, self.unite = spark, finish_rows, unite
+        self.version = self.united = 0  # batches stored, and of these united
         self.root = scratch_path(spark, "accepted")
         self.schemas: dict[str, str] = {}
 
@@ -149,14 +184,55 @@ class AcceptedArticles:
     def read(self, name: str) -> DataFrame:
         return self.spark.read.schema(self.schemas[name]).parquet(f"{self.root}/{name}")
 
+    def _roots(self) -> DataFrame:
+        """(id, root) of the accepted articles that are not the root of their cluster."""
+        return self.read("roots").groupBy("id").agg(F.max_by("root", "version").alias("root"))
+
+    def _unite(self) -> None:
+        """Unite the clusters that the articles stored since the last call meet."""
+        # what was accepted in earlier batches comes before all of a later one, whatever its ids
+        own = F.struct("version", "id")
+        a = self.read("articles")
+        new = a.where(F.col("version") > self.united).withColumn("id", own)
+        times = self.read("times").join(a.select("id", "version"), "id").withColumn("id", own).drop("version")
+        pages = a.where("id = representative and url_key is not null").select("url_key", own.alias("id"))
+        e = hash_window.all_near(new, self.read("keys"), times, below=True).unionByName(page_edges(new, pages)).select(F.col("x.id").alias("x"), F.col("b.id").alias("b"))
+        # a repeat stands in its representative's place
+        e = e.join(a.select(F.col("id").alias("x"), F.col("representative").alias("a")), "x").select("a", "b")
+        known = self._roots() if "roots" in self.schemas else None
+        if known is not None:
+            for c in ("a", "b"):
+                e = e.join(known.select(F.col("id").alias(c), F.col("root").alias("_root")), c, "left").withColumn(c, F.coalesce("_root", c)).drop("_root")
+        e = persist_table(e.select("a", "b").where("a <> b").distinct(), "unions")
+        self.united = self.version
+        n = e.count()
+        if not n:
+            return
+        c = e.groupBy(F.lit("all")).applyInArrow(union_find, "node bigint, component bigint") if n <= self.finish_rows else connected_components(e)
+        c = persist_table(c.where("node <> component"), "united")
+        changed = c.select(F.col("node").alias("id"), F.col("component").alias("root"))
+        if known is not None:
+            changed = changed.unionByName(known.join(c, F.col("root") == F.col("node")).select("id", F.col("component").alias("root")))
+        self._append("roots", changed.withColumn("version", F.lit(self.version)))
+
+    def clusters(self) -> DataFrame:
+        """(id, representative) of every article: the smallest accepted id of all that are united with what it repeats."""
+        if self.united < self.version:
+            self._unite()
+        a = self.read("articles").select("id", "representative")
+        if "roots" not in self.schemas:
+            return a
+        return a.join(self._roots().withColumnRenamed("id", "representative"), "representative", "left").select("id", F.coalesce("root", "representative").alias("representative"))
+
     def _store(self, batch: DataFrame, kept: DataFrame | None) -> None:
         """Append a batch; kept (id, kept) are those of it that repeat something."""
-        own = batch.select("id", "url_key")
+        self.version += 1
+        own = batch.select("id", "url_key", *(["hi", "lo", "t", "district", "state", F.lit(self.version).alias("version")] if self.unite else []))
         if kept is None:
             accepted, mapped = batch, own.withColumn("representative", F.col("id"))
         else:
             accepted = batch.join(kept.select("id"), "id", "left_anti")
-            mapped = own.join(kept, "id", "left").select("id", "url_key", F.coalesce("kept", "id").alias("representative"))
+            mapped = own.join(kept, "id", "left").select(*own.columns, F.coalesce("kept", "id").alias("representative"))
         self._append("articles", mapped)
         keys, times = keyed(accepted)[1:]
         self._append("times", times)
@@ -181,11 +257,11 @@ class AcceptedArticles:
         return kept.select(F.col("kept").alias("kept_id"), F.col("id").alias("dup_id"))
 
 
-def deduplicate(article: DataFrame, outlet: DataFrame, finish_rows: int = FINISH_ROWS) -> tuple[DataFrame, AcceptedArticles, DataFrame]:
-    """(links, state, prepared): batch 0 accepted as a whole, then each later batch in order."""
+def deduplicate(article: DataFrame, outlet: DataFrame, finish_rows: int = FINISH_ROWS, unite: bool = False) -> tuple[DataFrame, AcceptedArticles, DataFrame]:
+    """(links, state, prepared): batch 0 accepted as a whole, then each later batch in order; unite as in AcceptedArticles."""
     spark = article.sparkSession
     rows = persist_table(prepare(article, outlet), "prepared")
-    state = AcceptedArticles(spark, finish_rows)
+    state = AcceptedArticles(spark, finish_rows, unite)
     state.load_history(rows.where("batch_no <= 0"))
     for r in rows.where("batch_no > 0").groupBy("batch_no").count().orderBy("batch_no").collect():
         state.accept(rows.where(F.col("batch_no") == r["batch_no"]), r["count"])

@@ -41,9 +41,8 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_clusters(spark: SparkSession, d: str) -> DataFrame:
-    _, state, _ = history_dedup.deduplicate(table(spark, d, "source_article"), table(spark, d, "outlet"))
-    c = state.read("articles")
-    return c.groupBy("representative").agg(F.count(F.lit(1)).alias("n_articles"), F.max("id").alias("last_id"))
+    _, state, _ = history_dedup.deduplicate(table(spark, d, "source_article"), table(spark, d, "outlet"), unite=True)
+    return state.clusters().groupBy("representative").agg(F.count(F.lit(1)).alias("n_articles"), F.max("id").alias("last_id"))
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import halves
+from ..runtime import persist_table
 
 MAX_BITS = 3
 WINDOW_US = 7 * 86400 * 1000000
@@ -43,9 +44,9 @@ def keyed(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return keys, times
 
 
-def first_near(new: DataFrame, keys: DataFrame, times: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """(id, first): for rows (id, hi, lo, t, district, state) the smallest id in times within max_bits (up to 3), place and
-    window; no row without one.  If the row itself is in times it may be its own first."""
+def _met_hours(new: DataFrame, keys: DataFrame, times: DataFrame, max_bits: int) -> DataFrame:
+    """(id, t, place, ahi, alo, aw, hour, a, inside): the hours of near classes that new rows meet; a is the smallest id of an
+    hour, inside that the whole hour lies in the window."""
     n = new.withColumn("place", own_place()).where("hi is not null and t is not null and place is not null").select("id", "place", "hi", "lo", "t", week(F.col("t")).alias("week"))
     classes = n.select("place", "hi", "lo", "week").distinct().withColumn("aw", F.explode(F.sequence(F.col("week") - 1, F.col("week") + 1)))
     c = classes.withColumn("bk", F.explode(bands(F.col("aw"))))
@@ -57,13 +58,46 @@ def first_near(new: DataFrame, keys: DataFrame, times: DataFrame, max_bits: int
     met = n.join(near, ["place", "hi", "lo", "week"]).join(hours, ["place", "ahi", "alo", "aw"])
     met = met.where((F.col("t1") >= F.col("t") - WINDOW_US) & (F.col("t0") <= F.col("t") + WINDOW_US))
     inside = (F.col("t0") >= F.col("t") - WINDOW_US) & (F.col("t1") <= F.col("t") + WINDOW_US)
-    met = met.select("id", "t", "place", "ahi", "alo", "aw", "a", inside.alias("inside"), F.when(~inside, F.col("hour")).alias("hour"))  # no hour: nothing to open
+    return met.select("id", "t", "place", "ahi", "alo", "aw", "hour", "a", inside.alias("inside"))
+
+
+def _by_class(times: DataFrame) -> DataFrame:
+    return times.select("place", F.col("hi").alias("ahi"), F.col("lo").alias("alo"), F.col("week").alias("aw"), "hour", F.col("t").alias("ta"), F.col("id").alias("b"))
+
+
+def first_near(new: DataFrame, keys: DataFrame, times: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """(id, first): for rows (id, hi, lo, t, district, state) the smallest id in times within max_bits (up to 3), place and
+    window; no row without one.  If the row itself is in times it may be its own first."""
+    met = _met_hours(new, keys, times, max_bits)
+    met = met.select("id", "t", "place", "ahi", "alo", "aw", "a", "inside", F.when(~F.col("inside"), F.col("hour")).alias("hour"))  # no hour: nothing to open
     rows = times.groupBy("place", F.col("hi").alias("ahi"), F.col("lo").alias("alo"), F.col("week").alias("aw"), "hour", F.col("t").alias("ta")).agg(F.min("id").alias("ra"))
     met = met.join(rows, ["place", "ahi", "alo", "aw", "hour"], "left")
     hit = F.when(F.col("inside"), F.col("a")).when(F.abs(F.col("t") - F.col("ta")) <= WINDOW_US, F.col("ra"))
     return met.groupBy("id").agg(F.min(hit).alias("first")).where(F.col("first").isNotNull())
 
 
+def all_near(new: DataFrame, keys: DataFrame, times: DataFrame, below: bool = False, max_bits: int = MAX_BITS) -> DataFrame:
+    """(x, b), edges that join each new row to all ids in times that it is near, directly or through one of these ids.
+
+    An hour of copies that lies in a row's window as a whole, or a moment of an hour that is opened, is joined to its smallest
+    id once, whichever rows meet it: rows and copies add up, they do not multiply.  below: a row meets smaller ids only; of a
+    group its members below the largest row that meets it are joined.
+    """
+    at = ["place", "ahi", "alo", "aw", "hour"]
+    met = _met_hours(new, keys, times, max_bits)
+    met = met.where("a < id") if below else met
+    rows = _by_class(times)
+    moments = rows.groupBy(*at, "ta").agg(F.min("b").alias("ra")).withColumnRenamed("hour", "opened")
+    met = met.withColumn("opened", F.when(~F.col("inside"), F.col("hour"))).join(moments, [*at[:-1], "opened"], "left")
+    met = met.where(F.col("inside") | (F.abs(F.col("t") - F.col("ta")) <= WINDOW_US) & ((F.col("ra") < F.col("id")) if below else F.lit(True)))
+    met = persist_table(met.select("id", *at, F.col("ta").alias("only"), F.when(F.col("inside"), F.col("a")).otherwise(F.col("ra")).alias("first")), "met")
+    groups = met.groupBy(*at, "only").agg(F.min("first").alias("first"), F.max("id").alias("last"))
+    members = rows.join(groups, at).where("only is null or only = ta")
+    members = members.where("b < last") if below else members
+    edges = met.select("id", "first").unionByName(members.select(F.col("b").alias("id"), "first"))
+    return edges.where("id <> first").select(F.col("id").alias("x"), F.col("first").alias("b")).distinct()
+
+
 def near_duplicates(article: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """(id, first_like_it): articles with an earlier one (smaller id) within max_bits (up to 3) in their locality and seven
     days of fetching, and the first such.

@@ -105,6 +105,60 @@ def test_batches_against_history(spark, finish):
     assert set(clusters) == {r["id"] for r in rows} and all(clusters[d] == k for k, d in got) and all(clusters[k] == k for k, _ in got)
 
 
+def clusters_by_hand(rows):
+    """Union-find over the smaller ids of the history and the accepted articles that each row repeats."""
+    pages, acc, root = defaultdict(list), [], {}
+
+    def find(x):
+        root.setdefault(x, x)
+        return x if root[x] == x else find(root[x])
+
+    for x in sorted(rows, key=lambda r: (r["batch_no"], r["id"])):
+        found = list(pages[x["url_key"]]) if x["url_key"] is not None else []
+        for a in acc:
+            place = a["district"] == x["district"] if x["district"] else x["state"] and a["state"] == x["state"]
+            if place and None not in (x["hi"], a["hi"], x["t"], a["t"]) and abs(a["t"] - x["t"]) <= 7 * DAY and (x["hi"] ^ a["hi"]).bit_count() + (x["lo"] ^ a["lo"]).bit_count() <= 3:
+                found.append(a["id"])
+        kept = [x["id"]] if x["batch_no"] == 0 or not found else []
+        for a in [*found, x["id"]]:
+            a, b = find(a), find((kept or found)[0])
+            if a != b:
+                root[max(a, b)] = min(a, b)
+        if kept:
+            acc.append(x)
+            pages[x["url_key"]].append(x["id"])
+    accepted = {a["id"] for a in acc}
+    groups = defaultdict(list)
+    for r in rows:
+        groups[find(r["id"])].append(r["id"])
+    return {i: min(accepted.intersection(g)) for g in groups.values() for i in g}
+
+
+@pytest.mark.parametrize("finish, seed", [(100_000, 1), (0, 2)])
+def test_clusters_unite_all_that_an_article_repeats(spark, finish, seed):
+    rng = random.Random(seed)
+    base = [(rng.getrandbits(32), rng.getrandbits(32)) for _ in range(40)]
+    ids = rng.sample(range(1000), 220)  # ids do not follow the batches
+    rows = []
+    for k, i in enumerate(ids):
+        hi, lo = rng.choice(base)
+        for _ in range(rng.choice([0, 0, 1, 2])):
+            hi ^= 1 << rng.randrange(32)
+        t = rng.choice([rng.randrange(60 * DAY), rng.randrange(60) * DAY // 24, None])
+        rows.append({"id": i, "batch_no": max(0, (k - 80) // 50), "url_key": rng.choice([f"u{rng.randrange(60)}", None, f"x{i}", f"x{i}"]), "hi": hi, "lo": lo, "t": t, "district": rng.choice(["D", "E", None]), "state": rng.choice(["S", None])})
+    df = spark.createDataFrame(rows, "id bigint, batch_no int, url_key string, hi bigint, lo bigint, t bigint, district string, state string")
+    state = H.AcceptedArticles(spark, finish, unite=True)
+    state.load_history(df.where("batch_no = 0"))
+    for n in range(1, max(r["batch_no"] for r in rows) + 1):
+        state.accept(df.where(F.col("batch_no") == n))
+        if n == 1:
+            state.clusters()  # the later batches are united with what is known by then
+    got = {r["id"]: r["representative"] for r in state.clusters().collect()}
+    stars = {r["id"]: r["representative"] for r in state.read("articles").collect()}
+    assert got == clusters_by_hand(rows)
+    assert len(set(got.values())) < len(set(stars.values())) and set(got) == set(ids)
+
+
 def test_learned_weights_tell_pages_apart(spark, data):
     rows = H.prepare(spark.read.parquet(f"{data}/source_article.parquet"), spark.read.parquet(f"{data}/outlet.parquet"))
     w = H.learn_weights(rows)
