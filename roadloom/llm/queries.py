@@ -82,11 +82,16 @@ def p10_scores(spark: SparkSession, d: str) -> DataFrame:
     return s.select("doc_id", "source", F.round("score", 4).alias("score"), F.size("spans").alias("n_spans"))
 
 
+def p10_spans(spark: SparkSession, d: str) -> DataFrame:
+    s = toxicity.score(table(spark, d, "documents"))
+    return s.select("doc_id", F.explode("spans").alias("s")).select("doc_id", "s.start", "s.end", F.round("s.score", 4).alias("score"))
+
+
 def p10_rates(spark: SparkSession, d: str) -> DataFrame:
     return toxicity.source_rates(table(spark, d, "documents"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_text": p1_text, "p4_found": p4_found, "p4_blocks": p4_blocks, "p4_clean": p4_clean, "p5_found": p5_found, "p5_scored": p5_scored, "p5_clusters": p5_clusters, "p6_found": p6_found, "p6_languages": p6_languages, "p7_found": p7_found, "p7_scores": p7_scores, "p8_ids": p8_ids, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_found": p10_found, "p10_scores": p10_scores, "p10_rates": p10_rates}
+QUERIES = {"p1_found": p1_found, "p1_text": p1_text, "p4_found": p4_found, "p4_blocks": p4_blocks, "p4_clean": p4_clean, "p5_found": p5_found, "p5_scored": p5_scored, "p5_clusters": p5_clusters, "p6_found": p6_found, "p6_languages": p6_languages, "p7_found": p7_found, "p7_scores": p7_scores, "p8_ids": p8_ids, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_found": p10_found, "p10_scores": p10_scores, "p10_spans": p10_spans, "p10_rates": p10_rates}
 SQL: dict[str, str] = {
     "p4_found": r"""with a as (select id, outlet_name, string_split(clean_text, chr(10)) as l from source_article where clean_text is not null and trim(outlet_name) <> ''),
 x as (select id, outlet_name, lower(regexp_replace(unnest(l), '[^\p{L}\p{M}]+', '', 'g')) as k, unnest(range(1, len(l) + 1)) as line_no from a),

@@ -114,6 +114,25 @@ def _join(m: re.Match) -> str:
     return re.sub(r"[ .\-_]", "", m.group(0))
 
 
+def token_offsets(sentence: str) -> list[tuple[int, int]]:
+    """(start, end) in the sentence itself of each token of prepare(sentence)."""
+    table = _LOOKALIKE if _ALIEN.search(unicodedata.normalize("NFKC", sentence).lower()) else {}
+    text, at = [], []  # characters as prepare() sees them, and the range of the sentence each comes from
+    i = 0
+    while i < len(sentence):
+        j = i + 1
+        while j < len(sentence) and (unicodedata.category(sentence[j])[0] == "M" or "\u1160" <= sentence[j] <= "\u11ff" or sentence[j] in "\uff9e\uff9f"):
+            j += 1
+        for c in _INVISIBLE.sub("", unicodedata.normalize("NFKC", sentence[i:j])).lower().translate(table).replace("’", "'"):
+            text.append(c)
+            at.append((i, j))
+        i = j
+    flat = "".join(text)
+    gone = {n for m in _SPACED.finditer(flat) for n in range(m.start(), m.end()) if flat[n] in " .-_"}
+    left = [n for n in range(len(flat)) if n not in gone]
+    return [(at[left[m.start()]][0], at[left[m.end() - 1]][1]) for m in _TOKEN.finditer("".join(flat[n] for n in left))]
+
+
 def normal(t: str) -> str:
     """A word with digits for letters and stretching undone; numbers are 0, user names nothing."""
     if t.isascii():
@@ -297,14 +316,17 @@ class _Evidence(_Words):
 class Tagger:
     def __init__(self, field: Field):
         self.field = field
-        self.memo: dict[tuple, float] = {}
+        self.memo: dict[tuple, list[tuple[int, int, float]]] = {}
         self.words, self.evidence = _Words(field), _Evidence(field)
 
-    def sentence(self, s: str) -> float:
-        """Score of the worst span of a sentence: the mean marginal of a run of tokens that are likelier offending."""
+    def runs(self, s: str) -> list[tuple[int, int, float]]:
+        """(first, last, score) of the runs of tokens of a sentence that are likelier offending; their mean marginal is the score.
+
+        Tokens count from 0 among those that have a normal form.
+        """
         raw = _TOKEN.findall(prepare(s))
         if sum(map(self.evidence.__getitem__, raw)) < LEAST_EVIDENCE:
-            return 0.0
+            return []
         f = self.field
         k = tuple([t if t in f.vocab else "?" for t in map(self.words.__getitem__, raw) if t])
         got = self.memo.get(k)
@@ -312,32 +334,44 @@ class Tagger:
             get = f.weights.get
             emit = [f.bias + sum([get(x, 0.0) for x in fs]) for fs in features(list(k))]
             p, _, _ = f.marginals(emit)
-            got, run = 0.0, []
+            got, run = [], []
             for i, v in enumerate([*p, 0.0]):
                 if v >= 0.5:
                     run.append((v, i < len(k) and k[i] != "?"))
                 elif run:
                     known = sum(b for _, b in run)
                     if known >= LEAST_TOKENS or known and len(k) <= 2:
-                        got = max(got, sum(x for x, _ in run) / len(run))
+                        got.append((i - len(run), i - 1, sum(x for x, _ in run) / len(run)))
                     run = []
             if len(self.memo) > 200_000:
                 self.memo.clear()
             self.memo[k] = got
         return got
 
+    def spans(self, s: str) -> list[tuple[int, int, float]]:
+        """(start, end, score) of the offending runs of a sentence, in its characters.
+
+        A run that begins or ends the sentence takes the marks before or after it too.
+        """
+        runs = self.runs(s)
+        if not runs:
+            return []
+        raw = _TOKEN.findall(prepare(s))
+        at = token_offsets(s)
+        if len(at) != len(raw):  # never seen; the whole sentence then
+            return [(0, len(s), max(v for _, _, v in runs))]
+        at = [x for x, t in zip(at, raw) if self.words[t]]
+        return [(0 if i == 0 else at[i][0], len(s) if j == len(at) - 1 else at[j][1], v) for i, j, v in runs]
+
     def text(self, text: str) -> tuple[float, list[tuple[int, int, float]]]:
-        """(score, spans as (start, end, score)); offsets in characters of the sentences that hold offending spans."""
+        """(score, spans as (start, end, score)); offsets in characters of the text."""
         worst, spans, at = 0.0, [], 0
         cuts = [(m.start(), m.end()) for m in _CLAUSE.finditer(text)] + [(len(text), len(text))]
         for end, nxt in cuts:
             if end > at:
-                s = self.sentence(text[at:end])
-                if s >= 0.5:
-                    spans.append((at, end, s))
-                    worst = max(worst, s)
-                elif s > worst:
-                    worst = s
+                for a, b, v in self.spans(text[at:end]):
+                    spans.append((at + a, at + b, v))
+                    worst = max(worst, v)
             at = nxt
         return worst, spans
 

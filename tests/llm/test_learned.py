@@ -158,6 +158,23 @@ def test_scores_offsets_and_rates(spark):
     assert rates == {"a": (3, 1), None: (2, 0)}
 
 
+def test_token_offsets_in_the_text_itself():
+    for s in ("You m.o.r.o.n, ok", "Ｙou m\u200boron", "ﬁlthy Swine’s की सड़क İx", "e\u0301t\u00e9 moron \u09c7\u09be", "plain words, here"):
+        raw, at = toxicity._TOKEN.findall(toxicity.prepare(s)), toxicity.token_offsets(s)
+        assert len(raw) == len(at) and all(toxicity._TOKEN.findall(toxicity.prepare(s[a:b])) == [t] for t, (a, b) in zip(raw, at)), s
+
+
+def test_spans_are_runs_of_tokens(field):
+    """Two insults around a harmless middle are two spans, without the words between them."""
+    tagger = toxicity.Tagger(field)
+    first, middle, last = "Eat dirt and die, you filthy swine", "the road near the bus stand was repaired by the municipal office in March and the lights work again", "kill yourself you worthless moron"
+    text = f"Fine.\n{first} {middle} {last}"
+    worst, spans = tagger.text(text)
+    assert len(spans) == 2 and worst == max(v for _, _, v in spans)
+    (a, b, _), (c, d, _) = spans
+    assert text[a:b].startswith("Eat dirt") and "municipal" not in text[a:b] and text[c:d].endswith(last[-20:]) and "municipal" not in text[c:d]
+
+
 def test_no_documents(spark):
     none = spark.createDataFrame([], "doc_id bigint, source string, text string")
     assert toxicity.score(none).count() == 0 and toxicity.source_rates(none).count() == 0
