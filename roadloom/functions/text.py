@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Words that stand for a missing value in stringly payloads.
-NULL_WORDS = ["", "null", "none", "n/a", "na", "nil", "unknown", "-"]
+NULL_WORDS = ["", "null", "none", "n/a", "na", "nil"]
 
 
 def null_words_to_null(c: Column) -> Column:

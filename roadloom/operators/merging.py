@@ -4,31 +4,54 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..runtime import persist_table
+from .components import connected_components
 
 
-def greedy_merges(pairs: DataFrame) -> DataFrame:
+#: Pairs of one component (16 bytes each) that are put in order in one task; larger components go in rounds.
+COMPONENT_PAIRS = 200_000
+
+
+def _in_order(pairs: pa.Table) -> pa.Table:
+    """The executed pairs of one component, by the sequential pass."""
+    gone: set[int] = set()
+    out = []
+    for keep, merge in sorted(zip(pairs["keep"].to_pylist(), pairs["merge"].to_pylist())):
+        if keep not in gone and merge not in gone:
+            gone.add(merge)
+            out.append((keep, merge))
+    return pa.table({"keep": pa.array([k for k, _ in out], pa.int64()), "merge": pa.array([m for _, m in out], pa.int64())})
+
+
+def greedy_merges(pairs: DataFrame, component_pairs: int = COMPONENT_PAIRS) -> DataFrame:
     """(keep, merge): the pairs that a pass in order of (keep, merge) executes, skipping pairs with an id merged before.
 
-    A pair is decided once no earlier open pair can still merge one of its ids away, so all pairs that do not depend on each
-    other are decided at once and no group is gathered in one task.
+    Pairs of different components do not depend on each other, so each component is passed through in a task of its own.
+    A component of more than component_pairs pairs is decided in rounds instead: a pair once no earlier open pair can still
+    merge one of its ids away.  Both ways give the same pairs; null ids and pairs of an id with itself are left out.
     """
-    left = persist_table(pairs.select("keep", "merge").where("keep <> merge").distinct(), "pairs")
-    done = None
+    p = persist_table(pairs.select(F.col("keep").cast("bigint"), F.col("merge").cast("bigint")).where("keep <> merge").distinct(), "pairs")
+    label = connected_components(p.select(F.col("keep").alias("a"), F.col("merge").alias("b"))).select(F.col("node").alias("keep"), "component")
+    p = persist_table(p.join(label, "keep"), "pairs")
+    large = p.groupBy("component").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > component_pairs).select("component")
+    small = p.join(large, "component", "left_anti").select("component", "keep", "merge")
+    done = persist_table(small.groupBy("component").applyInArrow(_in_order, "keep bigint, merge bigint"), "merges")
+    left = persist_table(p.join(large, "component", "left_semi").select("keep", "merge"), "pairs")
     order = F.struct("keep", "merge")
     while left.limit(1).count():
         first = left.groupBy(F.col("merge").alias("x")).agg(F.min(order).alias("first"))
-        p = left.join(first.withColumnsRenamed({"x": "keep", "first": "fk"}), "keep", "left").join(first.withColumnsRenamed({"x": "merge", "first": "fm"}), "merge")
-        go = p.where((F.col("fm") == order) & (F.col("fk").isNull() | (F.col("fk") > order))).select("keep", "merge")
+        q = left.join(first.withColumnsRenamed({"x": "keep", "first": "fk"}), "keep", "left").join(first.withColumnsRenamed({"x": "merge", "first": "fm"}), "merge")
+        go = q.where((F.col("fm") == order) & (F.col("fk").isNull() | (F.col("fk") > order))).select("keep", "merge")
         go = persist_table(go, "merges")
         gone = go.select(F.col("merge").alias("x"))
         left = left.join(gone.withColumnRenamed("x", "keep"), "keep", "left_anti").join(gone.withColumnRenamed("x", "merge"), "merge", "left_anti")
         left = persist_table(left.select("keep", "merge"), "pairs")
-        done = go if done is None else done.unionByName(go)
-    return done if done is not None else left
+        done = done.unionByName(go)
+    return done
 
 
 def merge_rounds(rows: DataFrame, find_pairs: Callable[[DataFrame], DataFrame], id_col: str = "id", max_rounds: int = 4) -> tuple[DataFrame, DataFrame]:

@@ -1,8 +1,8 @@
 """Points near other points, and the region that contains a point.
 
 within_distance: equi-join on grid cells no smaller than the radius; one side stands in its home cell, the other is
-copied to the cells its circle touches, and an exact great-circle test decides.  Cells that hold many points are split
-by a salt: the home side spreads over it, the copied side repeats only for those cells.
+copied to the cells its circle touches, and an exact great-circle test decides.  Cells that hold many points of either
+side are split on both sides (skew.salted_join).
 
 containing_region: polygons are triangulated by ear clipping, the triangles go into bounding-volume hierarchies, each
 point descends the hierarchy and is tested exactly against the triangles of the leaves it reaches; a point on a shared
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geometry import home_cell, near_cells, sphere_distance_m, with_point
 from ..runtime import persist_table
+from .skew import salted_join
 
 HOT_CELL = 2000
 #: Up to this many triangles (64 bytes each) one hierarchy is sent to every executor; more are joined by tile.
@@ -44,16 +45,10 @@ def within_distance(a: DataFrame, b: DataFrame, radius_m: float) -> DataFrame:
 
     Empty inputs give no rows.  a stands in its home cells, b is copied; put the smaller table second.
     """
-    a = a.withColumn("_c", home_cell(F.col("lat"), F.col("lon"), radius_m))
-    hot = a.groupBy("_c").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > HOT_CELL)
-    hot = hot.select("_c", F.ceil(F.col("_n") / HOT_CELL).cast("int").alias("_parts"))
-    a = a.join(hot, "_c", "left").withColumn("_s", F.pmod(F.xxhash64("id"), F.coalesce("_parts", F.lit(1))).cast("int"))
-    b = b.withColumn("_c", F.explode(near_cells(F.col("lat"), F.col("lon"), radius_m))).join(hot, "_c", "left")
-    b = b.withColumn("_s", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)))
-    x, y = a.alias("x"), b.alias("y")
-    j = x.join(y, (F.col("x._c") == F.col("y._c")) & (F.col("x._s") == F.col("y._s")))
-    d = sphere_distance_m(F.col("x.lat"), F.col("x.lon"), F.col("y.lat"), F.col("y.lon"))
-    return j.select(F.col("x.id").alias("id_a"), F.col("y.id").alias("id_b"), d.alias("dist_m")).where(F.col("dist_m") <= radius_m)
+    x = a.select(F.col("id").alias("id_a"), F.col("lat").alias("lat_a"), F.col("lon").alias("lon_a"), home_cell(F.col("lat"), F.col("lon"), radius_m).alias("_c"))
+    y = b.select(F.col("id").alias("id_b"), F.col("lat").alias("lat_b"), F.col("lon").alias("lon_b"), F.explode(near_cells(F.col("lat"), F.col("lon"), radius_m)).alias("_c"))
+    d = sphere_distance_m(F.col("lat_a"), F.col("lon_a"), F.col("lat_b"), F.col("lon_b"))
+    return salted_join(x, y, ["_c"], HOT_CELL).select("id_a", "id_b", d.alias("dist_m")).where(F.col("dist_m") <= radius_m)
 
 
 def near_pairs(points: DataFrame, radius_m: float) -> DataFrame:
@@ -62,23 +57,71 @@ def near_pairs(points: DataFrame, radius_m: float) -> DataFrame:
     return p.select("id_a", "id_b").distinct()
 
 
+def near_counts(points: DataFrame, radius_m: float) -> DataFrame:
+    """(id, place, n_near): per point (id, lat, lon) its place and the number of other points at most radius_m from it.
+
+    place is the smallest id at the same coordinates.  Points of one place are one class, so a pile on a pin makes no pairs:
+    places are compared with places and their sizes are summed.  An id with several locations has a row for each.
+    """
+    p = persist_table(points.select("id", "lat", "lon").distinct(), "points")
+    place = persist_table(p.groupBy("lat", "lon").agg(F.min("id").alias("place"), F.count(F.lit(1)).alias("size")), "places")
+    near = within_distance(*(place.select(F.col("place").alias("id"), "lat", "lon") for _ in range(2)), radius_m).select("id_a", "id_b").distinct()
+    around = near.join(place.select(F.col("place").alias("id_b"), "size"), "id_b").groupBy(F.col("id_a").alias("place")).agg(F.sum("size").alias("_n"))
+    own = place.select("lat", "lon", "place").join(around, "place")
+    return p.join(own, ["lat", "lon"]).select("id", "place", (F.col("_n") - 1).alias("n_near"))
+
+
 # --- triangles -----------------------------------------------------------------------------------------------------
 
 
+_AREA = re.compile(r"\s*(?:SRID\s*=\s*\d+\s*;)?\s*(MULTI)?POLYGON\s*(?:ZM|Z|M)?\s*(EMPTY|\(.*\))\s*$", re.I | re.S)
+_PART = re.compile(r"\s*([(),]|[-+\d.eE]+)")
+
+
 def parse_area(wkt: str | None) -> list[list[np.ndarray]]:
-    """Polygons of a POLYGON or MULTIPOLYGON text: each a list of rings, the outer one first; [] where there is none."""
-    if not wkt or not re.match(r"(?i)\s*(?:SRID=\d+;)?\s*(MULTI)?POLYGON", wkt):
+    """Polygons of a POLYGON or MULTIPOLYGON text: each a list of rings, the outer one first.
+
+    [] for null and blank text and EMPTY; any other text that is no such area raises ValueError.  White space, line breaks
+    included, may stand between all parts; further coordinates of a corner are left out; rings of less than three
+    different corners have no area and are dropped.
+    """
+    if not wkt or not wkt.strip():
+        return []
+    m = _AREA.match(wkt)
+    if not m:
+        raise ValueError("neither POLYGON nor MULTIPOLYGON")
+    if m.group(2)[0] != "(":
         return []
-    multi = re.match(r"(?i)\s*(?:SRID=\d+;)?\s*MULTI", wkt)
-    polys = re.findall(r"\(\s*\(.*?\)\s*\)", wkt[wkt.index("(") + (1 if multi else 0) :]) if "(" in wkt else []
+    body, at = m.group(2), 0
+    stack: list[list] = [[]]
+    while at < len(body.rstrip()):
+        t = _PART.match(body, at)
+        if not t:
+            raise ValueError(f"unreadable at {body[at:at + 20]!r}")
+        at, x = t.end(), t.group(1)
+        if x == "(":
+            stack.append([[]])
+        elif x == ",":
+            stack[-1].append([])
+        elif x == ")":
+            if len(stack) < 2:
+                raise ValueError("a bracket too many")
+            done = stack.pop()
+            stack[-1][-1:] = [done] if not stack[-1] or stack[-1][-1] == [] else [stack[-1][-1], done]
+        else:
+            stack[-1][-1].append(float(x))
+    if len(stack) != 1:
+        raise ValueError("a bracket too few")
+    polys = stack[0][0] if m.group(1) else [stack[0][0]]
     out = []
     for p in polys:
         rings = []
-        for r in re.findall(r"\(([^()]+)\)", p):
-            xy = np.array([[float(v) for v in q.split()[:2]] for q in r.split(",")])
+        for r in p:
+            if not all(isinstance(q, list) and len(q) >= 2 and all(isinstance(v, float) for v in q) for q in r):
+                raise ValueError("a corner without two numbers")
+            xy = np.array([q[:2] for q in r])
             xy = xy[:-1] if len(xy) > 1 and (xy[0] == xy[-1]).all() else xy
-            keep = (xy != np.roll(xy, 1, axis=0)).any(axis=1)
-            xy = xy[keep]
+            xy = xy[(xy != np.roll(xy, 1, axis=0)).any(axis=1)]
             if len(xy) >= 3:
                 rings.append(xy)
         if rings:
@@ -110,12 +153,14 @@ def _bridge(outer: list, hole: list) -> list:
         return True
 
     order = sorted(range(len(outer)), key=lambda i: (outer[i][0] - h[0]) ** 2 + (outer[i][1] - h[1]) ** 2)
-    oi = next((i for i in order if seen(outer[i])), order[0])
+    oi = next((i for i in order if seen(outer[i])), None)
+    if oi is None:
+        raise ValueError("a hole that no corner of the outer ring sees")
     return outer[: oi + 1] + hole[hi:] + hole[: hi + 1] + outer[oi:]
 
 
 def ear_clip(rings: list[np.ndarray]) -> list[tuple]:
-    """Triangles of a polygon with holes."""
+    """Triangles of a polygon with holes; ValueError if they are not the whole of it (rings that cross themselves or each other)."""
     outer = [tuple(p) for p in (rings[0] if _area2(rings[0]) > 0 else rings[0][::-1])]
     holes = [[tuple(p) for p in (h if _area2(h) < 0 else h[::-1])] for h in rings[1:]]
     for h in sorted(holes, key=lambda q: -max(q)[0]):
@@ -135,13 +180,16 @@ def ear_clip(rings: list[np.ndarray]) -> list[tuple]:
             best = (k, True)
             break
         if best is None:
-            break
+            raise ValueError("no ear left: the rings cross")
         k, real = best
         if real:
             out.append((outer[idx[k - 1]], outer[idx[k]], outer[idx[(k + 1) % len(idx)]]))
         idx.pop(k)
     if len(idx) == 3 and _cross(*(outer[i] for i in idx)) > 0:
         out.append(tuple(outer[i] for i in idx))
+    want = abs(_area2(rings[0])) - sum(abs(_area2(h)) for h in rings[1:])
+    if abs(sum(_cross(*t) for t in out) - want) > 1e-9 * max(abs(want), abs(_area2(rings[0]))):
+        raise ValueError("the triangles do not make up the area: the rings cross")
     return out
 
 
@@ -149,20 +197,43 @@ _TRI = "region_id bigint, x1 double, y1 double, x2 double, y2 double, x3 double,
 
 
 def triangles(areas: DataFrame, id_col: str, wkt_col: str) -> DataFrame:
-    """One row for each triangle of each region; null or empty areas give none."""
+    """One row for each triangle of each region; null, blank and EMPTY areas give none.
+
+    A region that cannot be triangulated as a whole ends the job with its id; area_problems finds all such beforehand.
+    """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
             for rid, wkt in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                for rings in parse_area(wkt):
-                    rows += [(rid, *t[0], *t[1], *t[2]) for t in ear_clip(rings)]
+                try:
+                    rows += [(rid, *t[0], *t[1], *t[2]) for rings in parse_area(wkt) for t in ear_clip(rings)]
+                except ValueError as e:
+                    raise ValueError(f"region {rid}: {e}") from e
             cols = list(zip(*rows)) if rows else [[] for _ in range(7)]
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64())] + [pa.array(c, pa.float64()) for c in cols[1:]], names=["region_id", "x1", "y1", "x2", "y2", "x3", "y3"])
 
     return areas.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint"), F.col(wkt_col).cast("string")).mapInArrow(cut, _TRI)
 
 
+def area_problems(areas: DataFrame, id_col: str = "region_id", wkt_col: str = "area_wkt") -> DataFrame:
+    """(region_id, problem) of the regions that cannot be read or triangulated as a whole."""
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids, said = [], []
+            for rid, wkt in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                try:
+                    for rings in parse_area(wkt):
+                        ear_clip(rings)
+                except ValueError as e:
+                    ids.append(rid)
+                    said.append(str(e))
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(said, pa.string())], names=["region_id", "problem"])
+
+    return areas.select(F.col(id_col).cast("bigint"), F.col(wkt_col).cast("string")).mapInArrow(look, "region_id bigint, problem string")
+
+
 class Hierarchy:
     """Bounding-volume hierarchy over triangles: array-backed median splits, queried with whole batches of points."""
 
@@ -217,15 +288,15 @@ def _hierarchy(rows: np.ndarray, ids: np.ndarray) -> Hierarchy:
 def containing_region(points: DataFrame, areas: DataFrame, id_col: str = "region_id", wkt_col: str = "area_wkt", broadcast_triangles: int = BROADCAST_TRIANGLES) -> DataFrame:
     """(id, region_id) of each point (id, lat, lon) that lies in a region; points in none give no row.
 
-    The triangles are counted first.  Up to broadcast_triangles of them one hierarchy goes to every executor and the
+    The triangles are written and counted first.  Up to broadcast_triangles of them one hierarchy goes to every executor and the
     points are not shuffled; beyond, triangles are copied to the tiles they touch, points to their tile (spread over
     salts where a tile is crowded), and each tile builds its own hierarchy.
     """
-    tri = triangles(areas, id_col, wkt_col)
+    tri = persist_table(triangles(areas, id_col, wkt_col), "triangles")
     cols = ["x1", "y1", "x2", "y2", "x3", "y3"]
-    head = tri.limit(broadcast_triangles + 1).collect()
     spark = points.sparkSession
-    if len(head) <= broadcast_triangles:
+    if tri.count() <= broadcast_triangles:
+        head = tri.collect()
         data = np.array([[r[c] for c in cols] for r in head], dtype=float).reshape(-1, 6)
         ids = np.array([r["region_id"] for r in head], dtype=np.int64)
         shared = spark.sparkContext.broadcast((data, ids))

@@ -76,7 +76,7 @@ def simhash_hex(spark, d):
     return a.select("id", "simhash", hamming(F.col("simhash"), F.col("dedup_hash")).alias("bits_apart"))
 
 
-@query("""select item_id, coalesce(cast(floor(v) as bigint), -1) as n, v is not null as numeric from (select item_id, try_cast(case when lower(trim(published_at)) in ('', 'null', 'none', 'n/a', 'na', 'nil', 'unknown', '-') then null else trim(published_at) end as double) as v from feed_item)""")
+@query("""select item_id, coalesce(cast(floor(v) as bigint), -1) as n, v is not null as numeric from (select item_id, try_cast(case when lower(trim(published_at)) in ('', 'null', 'none', 'n/a', 'na', 'nil') then null else trim(published_at) end as double) as v from feed_item)""")
 def coerced_values(spark, d):
     """Numbers in text columns: words for nothing are null, the rest the default."""
     v = coerce_double(F.col("published_at"))

@@ -10,6 +10,7 @@ from ..functions.text import coerce_int, outlet_tier, url_host
 from ..operators.components import dbscan
 from ..operators.hash_window import near_duplicates as near_hashes
 from ..operators.proximity import located, within_distance
+from ..operators.skew import salted_join
 from ..operators.scoring import WEIGHTS, score_components, tier, total_score
 from ..runtime import persist_table, table
 from .geo_sql import HAV, PTS, SPOTS
@@ -378,7 +379,7 @@ def map_tiles(spark, d):
 select case when a.c >= b.c then a.id else b.id end as keep_id, case when a.c >= b.c then b.id else a.id end as merge_id, round({ellipsoid_sql("a", "b")}, 3) as dist_m from v a join v b on a.id < b.id and abs(date_diff('day', a.crash_date, b.crash_date)) <= 1
 and abs(a.lat - b.lat) < 0.01 and {ellipsoid_sql("a", "b")} <= 1000 and abs(a.f - b.f) <= 1 and abs(a.j - b.j) <= 3""")
 def same_crash_pairs(spark, d):
-    """Reports of one event: a grid and day equi-join, then distance, dates and casualties exactly."""
+    """Reports of one event: a grid and day equi-join with crowded keys split, then distance, dates and casualties exactly."""
     p = located(table(spark, d, "incident"), "id", "geom")
     i = incidents(spark, d).where("crash_date is not null").select("id", "crash_date", F.coalesce("fatalities", F.lit(0)).alias("f"), F.coalesce("injuries", F.lit(0)).alias("j"), F.coalesce("extraction_confidence", F.lit(0.0)).alias("c"))
     v = i.join(p, "id").withColumn("day", F.datediff("crash_date", F.lit("1970-01-01")))
@@ -392,7 +393,7 @@ def same_crash_pairs(spark, d):
     b = b.select("*", F.explode(F.sequence(F.col("day") - 1, F.col("day") + 1)).alias("cd"))
     dist = ellipsoid_distance_m(F.col("a_lat"), F.col("a_lon"), F.col("lat"), F.col("lon"))
     near = (F.col("a_id") < F.col("id")) & (dist <= 1000) & (F.abs(F.col("a_f") - F.col("f")) <= 1) & (F.abs(F.col("a_j") - F.col("j")) <= 3)
-    j = a.join(b, ["cy", "cx", "cd"]).where(near)
+    j = salted_join(a, b, ["cy", "cx", "cd"]).where(near)
     first = F.col("a_c") >= F.col("c")
     return j.select(F.when(first, F.col("a_id")).otherwise(F.col("id")).alias("keep_id"), F.when(first, F.col("id")).otherwise(F.col("a_id")).alias("merge_id"), F.round(dist, 3).alias("dist_m"))
 

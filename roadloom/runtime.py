@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -30,30 +32,80 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: spark.checkpoint.dir where the cluster names it.
 
-    Only where that setting is absent (tests, one machine) a temporary folder is made, once a session.
+    Only where that setting is absent and the master is this machine (tests) a temporary folder is made, once a session; a
+    cluster without the setting is an error, as each executor would write to a disk of its own.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
     own = spark.conf.get("roadloom.scratch", None)
     if not own:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         own = "file://" + tempfile.mkdtemp(prefix="roadloom-")
         spark.conf.set("roadloom.scratch", own)
+        atexit.register(shutil.rmtree, own[7:], True)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(own)
     return own
 
 
+_RUN_DIRS: set[str] = set()
+
+
 def run_dir(spark: SparkSession) -> str:
-    """This application's own folder in the shared one; drop_scratch() removes it."""
-    return f"{shared_dir(spark)}/roadloom-{spark.sparkContext.applicationId}"
+    """This application's own folder in the shared one; drop_scratch() removes it, at the latest when the process ends."""
+    at = f"{shared_dir(spark)}/roadloom-{spark.sparkContext.applicationId}"
+    if at not in _RUN_DIRS:
+        _RUN_DIRS.add(at)
+        atexit.register(_drop_at_end, at)
+    return at
+
+
+def _drop_at_end(path: str) -> None:
+    """Delete a run's folder when Python ends; the JVM is still there then, even if its session was stopped."""
+    from pyspark import SparkContext
+
+    try:
+        jvm = SparkContext._jvm
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(at, True)
+    except Exception:  # noqa: BLE001  the gateway is gone: the shared folder's own expiry has to do it
+        return
+
+
+def file_system(spark: SparkSession, path: str) -> tuple:
+    """(file system, path) of a path on whatever storage it names."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
 
 
 def drop_scratch(spark: SparkSession) -> None:
     """Delete what the session's operators have written to the shared folder (their results can no longer be read)."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    path = hadoop.Path(run_dir(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    fs, at = file_system(spark, run_dir(spark))
+    fs.delete(at, True)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, sorted; [] if it is not there."""
+    fs, at = file_system(spark, path)
+    return sorted(f.getPath().getName() for f in fs.listStatus(at)) if fs.exists(at) else []
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file, complete or not there: written beside and renamed."""
+    fs, at = file_system(spark, path)
+    _, part = file_system(spark, f"{path}.{uuid.uuid4().hex}.part")
+    out = fs.create(part, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    fs.delete(at, False)
+    if not fs.rename(part, at):
+        raise OSError(f"{path} could not be written")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    return "\n".join(r[0] for r in spark.read.text(path).collect())
 
 
 def persist_table(df: DataFrame, label: str) -> DataFrame:
@@ -90,10 +142,9 @@ def ship(spark: SparkSession) -> None:
     """Send this package to the executors' Python workers, once a session (they may lack it on a cluster)."""
     if spark.conf.get("roadloom.shipped", None) == spark.sparkContext.applicationId:
         return
-    import shutil
-
     root = os.path.dirname(os.path.abspath(__file__))
     made = tempfile.mkdtemp(prefix="roadloom-zip-")
+    atexit.register(shutil.rmtree, made, True)
     src = os.path.join(made, "src")
     shutil.copytree(root, os.path.join(src, os.path.basename(root)), ignore=shutil.ignore_patterns("__pycache__"))
     spark.sparkContext.addPyFile(shutil.make_archive(os.path.join(made, "roadloom"), "zip", src))

@@ -3,6 +3,7 @@
 import json
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from roadloom.functions.text import coerce_int, hamming, simhash, url_host
@@ -12,7 +13,7 @@ from roadloom.operators.hash_window import near_duplicates
 from roadloom.operators.geocoding import ladder
 from roadloom.operators.merging import final_keepers, greedy_merges, merge_rounds, remap
 from roadloom.operators.scoring import WEIGHTS, score_components, tier, total_score
-from roadloom.sources.feeds import ArticleListSource, RssSource
+from roadloom.sources.feeds import read_article_lists, read_rss
 from roadloom.sources.files import KeyedTable, geojson_features, nested, read_csv, read_jsonl, read_keywords, read_nested_districts, write_csv_pack
 from roadloom.sources.html import page_text
 from roadloom.streaming.intake import event_stream, first_arrivals, run_to_table, windowed_counts
@@ -32,8 +33,13 @@ def test_components_of_random_graphs(spark):
     for a, b in edges:
         a, b = find(a), find(b)
         root[max(a, b)] = min(a, b)
-    got = {r[0]: r[1] for r in connected_components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
-    assert got == {x: find(x) for x in root}
+    df = spark.createDataFrame([*edges, (None, 3)], "a bigint, b bigint")
+    for bound in (1_000_000, 0):  # in one task, in rounds
+        got = {r[0]: r[1] for r in connected_components(df, one_task_edges=bound).collect()}
+        assert got == {x: find(x) for x in root}
+    with pytest.raises(RuntimeError, match="did not settle"):
+        connected_components(df, max_rounds=1, one_task_edges=0)
+    assert connected_components(df.limit(0)).count() == 0
 
 
 def test_dbscan_core_border_noise(spark):
@@ -79,8 +85,9 @@ def test_greedy_merges_like_a_loop(spark):
     rng = random.Random(2)
     for _ in range(3):
         pairs = {(a, b) for a, b in ((rng.randrange(30), rng.randrange(30)) for _ in range(50)) if a != b}
-        got = {tuple(r) for r in greedy_merges(spark.createDataFrame(list(pairs), "keep bigint, merge bigint")).collect()}
-        assert got == sequential(pairs)
+        for bound in (200_000, 5):  # whole components, in rounds
+            got = {tuple(r) for r in greedy_merges(spark.createDataFrame([*pairs, (1, None), (4, 4)], "keep bigint, merge bigint"), bound).collect()}
+            assert got == sequential(pairs)
 
 
 def test_rounds_are_not_a_closure(spark):
@@ -184,10 +191,10 @@ def test_feed_sources(spark, tmp_path):
     (tmp_path / "a.xml").write_text('<rss><channel><item><title>T</title><link>http://x</link><pubDate>Mon, 01 Sep 2025 00:00:00 GMT</pubDate><source url="https://www.s.example/p">S</source></item></channel></rss>')
     (tmp_path / "bad.xml").write_text("<rss>")
     (tmp_path / "a.json").write_text(json.dumps({"articles": [{"url": "u", "title": "t", "seendate": "20260101T000000Z", "domain": "d"}]}))
-    for s in (RssSource, ArticleListSource):
-        spark.dataSource.register(s)
-    assert [tuple(r) for r in spark.read.format("rss").load(str(tmp_path)).collect()] == [("http://x", "T", "Mon, 01 Sep 2025 00:00:00 GMT", "S", "s.example")]
-    assert [tuple(r) for r in spark.read.format("articlelist").load(str(tmp_path)).collect()] == [("u", "t", "20260101T000000Z", None, "d")]
+    rows = read_rss(spark, str(tmp_path)).drop("file").collect()
+    assert [tuple(r) for r in rows if r["problem"] is None] == [(0, "http://x", "T", "Mon, 01 Sep 2025 00:00:00 GMT", "S", "s.example", None)]
+    assert [r["file"].rsplit("/", 1)[1] for r in read_rss(spark, str(tmp_path)).where("problem is not null").collect()] == ["bad.xml"]
+    assert [tuple(r) for r in read_article_lists(spark, str(tmp_path)).drop("file").collect()] == [(0, "u", "t", "20260101T000000Z", None, "d", None)]
 
 
 def test_page_text(spark):

@@ -4,10 +4,12 @@ import math
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from roadloom.functions.geometry import with_point
 from roadloom.operators import proximity as P
+from roadloom.operators.skew import salted_join
 
 
 def hav(a, b):
@@ -94,3 +96,31 @@ def test_empty_tables(spark):
     areas = spark.createDataFrame([], "region_id bigint, area_wkt string")
     assert P.near_pairs(none, 300.0).count() == 0
     assert P.neighbourhood(inc, hot, areas).count() == 0
+
+
+def test_areas_are_read_whole_or_refused(spark):
+    hole = "POLYGON((0 0, 4 0,\n 4 4, 0 4,\n0 0),\n(1 1, 2 1, 2 2, 1 2, 1 1))"
+    assert [[len(r) for r in p] for p in P.parse_area(hole)] == [[4, 4]] and len(P.ear_clip(P.parse_area(hole)[0])) == 8
+    assert P.parse_area(None) == P.parse_area(" ") == P.parse_area("POLYGON EMPTY") == []
+    bad = {1: "POLYGON((0 0,2 2,2 0,0 2,0 0))", 2: "POINT(1 1)", 3: "POLYGON((0 0,3 0,3 3,0 3,0 0),(1 1,5 1,5 2,1 2,1 1))", 4: "POLYGON((0 0,1 x,2 2,0 0))", 5: "POLYGON((0 0, 1 1, 2 0)"}
+    df = spark.createDataFrame([(0, hole, 1), *((k, v, 1) for k, v in bad.items()), (9, None, 1)], "region_id bigint, area_wkt string, problem int")
+    assert {r["region_id"] for r in P.area_problems(df).collect()} == set(bad)
+    with pytest.raises(Exception, match="region 1"):
+        P.triangles(df.where("region_id = 1"), "region_id", "area_wkt").collect()
+
+
+def test_piles_beside_sparse_cells(spark):
+    """A pin with many reports beside sparse cells: the same counts as by pairs, tasks split on both sides."""
+    rng = random.Random(4)
+    rows = [(i, 20.0, 75.0) for i in range(700)] + [(1000 + i, 20.0 + rng.uniform(-0.01, 0.01), 75.0 + rng.uniform(-0.01, 0.01)) for i in range(300)]
+    p = spark.createDataFrame(rows, "id bigint, lat double, lon double")
+    x = spark.createDataFrame([(r[0], r[0] % 3) for r in rows], "id bigint, k bigint")
+    got = salted_join(x, x.withColumnRenamed("id", "id2"), ["k"], 50)
+    assert got.count() == sum(sum(1 for r in rows if r[0] % 3 == k) ** 2 for k in range(3)) == got.distinct().count()
+    pairs = P.near_pairs(p, 300.0).collect()
+    want = dict.fromkeys((r[0] for r in rows), 0)
+    for r in pairs:
+        want[r["id_a"]] += 1
+        want[r["id_b"]] += 1
+    counts = P.near_counts(p, 300.0).collect()
+    assert {r["id"]: r["n_near"] for r in counts} == want and {r["place"] for r in counts if r["id"] < 700} == {0}
