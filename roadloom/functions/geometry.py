@@ -85,17 +85,22 @@ def _band_cells(band: Column, height: float) -> Column:
     return F.greatest(F.lit(1), F.floor(F.lit(360.0 / height) * F.cos(F.radians(edge)))).cast("bigint")
 
 
+def _number(band: Column, cell: Column) -> Column:
+    return F.shiftleft(band.cast("bigint"), 32) + cell.cast("bigint")
+
+
 def home_cell(lat: Column, lon: Column, radius_m: float) -> Column:
-    """struct(band, cell) of a point on a grid whose bands are one radius high; valid at the poles and the antimeridian."""
+    """Number of a point's cell (band in the upper half, cell in the lower) on a grid whose bands are one radius high; valid at
+    the poles and the antimeridian."""
     h = _band_height(radius_m)
     band = F.floor(lat / h)
     n = _band_cells(band, h)
     cell = F.pmod(F.floor((lon + 180.0) / 360.0 * n), n)
-    return F.struct(band.cast("bigint").alias("band"), cell.cast("bigint").alias("cell"))
+    return _number(band, cell)
 
 
 def near_cells(lat: Column, lon: Column, radius_m: float) -> Column:
-    """array of every struct(band, cell) that can hold a point within the radius."""
+    """array of the numbers of all cells that can hold a point within the radius."""
     h = _band_height(radius_m)
     ang = radius_m / EARTH_RADIUS_M * 1.000001
     ratio = F.lit(math.sin(ang)) / F.cos(F.radians(lat))
@@ -106,7 +111,7 @@ def near_cells(lat: Column, lon: Column, radius_m: float) -> Column:
         n = _band_cells(b, h)
         lo, hi = F.floor((lon + 180.0 - half) / 360.0 * n), F.floor((lon + 180.0 + half) / 360.0 * n)
         hi = F.least(hi, lo + n - 1)  # a whole turn at most
-        return F.transform(F.sequence(lo, hi), lambda c: F.struct(b.cast("bigint").alias("band"), F.pmod(c, n).cast("bigint").alias("cell")))
+        return F.transform(F.sequence(lo, hi), lambda c: _number(b, F.pmod(c, n)))
 
     b0 = F.floor(lat / h)
     return F.array_distinct(F.flatten(F.transform(F.sequence(b0 - 1, b0 + 1), cells)))
