@@ -31,18 +31,20 @@ def p4_clean(spark: SparkSession, d: str) -> DataFrame:
     return repeated_lines.without_repeated(table(spark, d, "source_article"))
 
 
-def p5_scored(spark: SparkSession, d: str) -> DataFrame:
-    links, _, rows = history_dedup.deduplicate(table(spark, d, "source_article"), table(spark, d, "outlet"))
-    return history_dedup.scored_links(links, rows)
+def _history(spark: SparkSession, d: str) -> history_dedup.AcceptedArticles:
+    return history_dedup.deduplicate(table(spark, d, "source_article"), table(spark, d, "outlet"))
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    return p5_scored(spark, d).select("kept_id", "dup_id")
+    return _history(spark, d).links().select("kept_id", "dup_id")
+
+
+def p5_scored(spark: SparkSession, d: str) -> DataFrame:
+    return _history(spark, d).links()
 
 
 def p5_clusters(spark: SparkSession, d: str) -> DataFrame:
-    _, state, _ = history_dedup.deduplicate(table(spark, d, "source_article"), table(spark, d, "outlet"), unite=True)
-    return state.clusters().groupBy("representative").agg(F.count(F.lit(1)).alias("n_articles"), F.max("id").alias("last_id"))
+    return _history(spark, d).clusters().groupBy("representative").agg(F.count(F.lit(1)).alias("n_articles"), F.max("id").alias("last_id"))
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:

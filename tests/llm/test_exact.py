@@ -83,7 +83,7 @@ def dedup_by_hand(rows):
 
 
 @pytest.mark.parametrize("finish", [100_000, 0])
-def test_batches_against_history(spark, finish):
+def test_batches_against_history(spark, tmp_path, finish):
     rng = random.Random(9)
     base = [(rng.getrandbits(32), rng.getrandbits(32)) for _ in range(6)]
     rows = []
@@ -95,11 +95,19 @@ def test_batches_against_history(spark, finish):
     for r in rows:
         r["lo"] = None if r["hi"] is None else r["lo"]
     df = spark.createDataFrame(rows, "id bigint, batch_no int, url_key string, hi bigint, lo bigint, t bigint, district string, state string")
-    state = H.AcceptedArticles(spark, finish)
+    state = H.AcceptedArticles(spark, f"file://{tmp_path}/state", finish, 20)
     state.load_history(df.where("batch_no = 0"))
-    got = set()
+    got, scores = set(), {}
     for n in range(1, max(r["batch_no"] for r in rows) + 1):
-        got |= {tuple(r) for r in state.accept(df.where(F.col("batch_no") == n)).collect()}
+        for r in state.accept(df.where(F.col("batch_no") == n)).collect():
+            got.add((r["kept_id"], r["dup_id"]))
+            scores[r["dup_id"]] = r["score"]
+        state = H.AcceptedArticles(spark, f"file://{tmp_path}/state", finish)  # as a later session opens it
+    assert state.buckets > 1 and {(r["dup_id"], r["score"]) for r in state.links().collect()} == set(scores.items())
+    by_id = {r["id"]: r for r in rows}
+    for k, x in got:
+        same_url = by_id[k]["url_key"] is not None and by_id[k]["url_key"] == by_id[x]["url_key"]
+        assert abs(scores[x] - state.weights.score_of(by_id[x], by_id[k], same_url)) < 1e-6
     assert got == dedup_by_hand(rows) and len(got) > 20
     clusters = {r["id"]: r["representative"] for r in state.read("articles").collect()}
     assert set(clusters) == {r["id"] for r in rows} and all(clusters[d] == k for k, d in got) and all(clusters[k] == k for k, _ in got)
@@ -147,7 +155,7 @@ def test_clusters_unite_all_that_an_article_repeats(spark, finish, seed):
         t = rng.choice([rng.randrange(60 * DAY), rng.randrange(60) * DAY // 24, None])
         rows.append({"id": i, "batch_no": max(0, (k - 80) // 50), "url_key": rng.choice([f"u{rng.randrange(60)}", None, f"x{i}", f"x{i}"]), "hi": hi, "lo": lo, "t": t, "district": rng.choice(["D", "E", None]), "state": rng.choice(["S", None])})
     df = spark.createDataFrame(rows, "id bigint, batch_no int, url_key string, hi bigint, lo bigint, t bigint, district string, state string")
-    state = H.AcceptedArticles(spark, finish, unite=True)
+    state = H.AcceptedArticles(spark, None, finish)
     state.load_history(df.where("batch_no = 0"))
     for n in range(1, max(r["batch_no"] for r in rows) + 1):
         state.accept(df.where(F.col("batch_no") == n))
@@ -162,6 +170,10 @@ def test_clusters_unite_all_that_an_article_repeats(spark, finish, seed):
 def test_learned_weights_tell_pages_apart(spark, data):
     rows = H.prepare(spark.read.parquet(f"{data}/source_article.parquet"), spark.read.parquet(f"{data}/outlet.parquet"))
     w = H.learn_weights(rows)
+    x = H.Weights(w)
+    assert w["hash", "far"] < x.least_hash
+    passed = spark.range(33).select("id", x.gate(F.col("id"), F.col("id") % 2 == 0).alias("ok")).where("ok").collect()
+    assert {r["id"] for r in passed} == {0, 1, 2, 3}  # far candidates score too little, true ones never
     assert w["hash", "same"] > w["hash", "far"] and w["url", "same"] > w["url", "other"]
 
 
@@ -241,10 +253,30 @@ def test_registered_mixture_is_worth_the_named_sources(spark, tmp_path):
 def test_empty_and_odd_tables(spark):
     outlet = spark.createDataFrame([], "name string, website string, tz string, date_order string")
     cols = "id bigint, batch_no int, url string, outlet_name string, district string, state string, published_at string, dedup_hash string, t int, place string"
-    links, state, rows = H.deduplicate(spark.createDataFrame([], cols), outlet)
-    assert links.count() == 0 and H.scored_links(links, rows).count() == 0
+    state = H.deduplicate(spark.createDataFrame([], cols), outlet)
+    assert state.links().count() == 0 and state.clusters().count() == 0
     odd = [(1, None, None, None, None, None, None, None, 0, "x"), (1, 0, "http://a/1", None, "D", None, "2025-01-01", "zz", 0, "x"), (2, 1, " ", "", "", "", "", "", 0, "x"), (None, 1, "http://a/1", None, "D", None, "2025-01-01", "ff" * 8, 0, "x"), (3, 2, "http://a/1/", "A", "D", "S", "x" * 9000, "ff" * 8, 0, "x"), (4, 2, "http://A/1", "A", "D", "S", "x" * 9000, "ff" * 8, 0, "x")]
-    links, state, rows = H.deduplicate(spark.createDataFrame(odd, cols), outlet)
+    state = H.deduplicate(spark.createDataFrame(odd, cols), outlet)
     assert sorted(r["id"] for r in state.read("articles").collect()) == [1, 2, 3, 4]
-    assert {tuple(r) for r in links.collect()} == {(3, 4)}  # of the two rows of id 1 the one without url counts
+    assert {(r["kept_id"], r["dup_id"]) for r in state.links().collect()} == {(3, 4)}  # of the two rows of id 1 the one without url counts
     assert tokens.encode(spark.createDataFrame([], "doc_id bigint, text string, ids int")).count() == 0
+
+
+def test_a_batch_reads_what_it_touches(spark, tmp_path):
+    """Rows and bytes that a batch reads stay the same when the history grows tenfold in other weeks and pages."""
+    read = {}
+    for grown in (1, 10):
+        rng = random.Random(5)
+        rows = [(i, 0, f"p{i}", rng.getrandbits(32), rng.getrandbits(32), rng.randrange(56 * DAY), f"D{i % 7}", "S") for i in range(2000)]
+        rows += [(10_000 + i, 0, f"q{i}", rng.getrandbits(32), rng.getrandbits(32), (200 + rng.randrange(2000)) * DAY, f"D{i % 7}", "S") for i in range(2000 * (grown - 1))]
+        rows += [(90_000 + i, 1, f"p{i}", 1, i, 20 * DAY, "D1", "S") for i in range(3)]
+        df = spark.createDataFrame(rows, "id bigint, batch_no int, url_key string, hi bigint, lo bigint, t bigint, district string, state string")
+        state = H.AcceptedArticles(spark, f"file://{tmp_path}/{grown}", bucket_rows=50)
+        state.load_history(df.where("batch_no = 0"))
+        batch = df.where("batch_no = 1")
+        n, blocks, buckets = state._touched(batch)
+        at = [p for k in ("keys", "hours", "times") for p in state.folders(k, blocks)]
+        read[grown] = sum(spark.read.parquet(p).count() for p in at), sum(spark.read.parquet(p).count() for p in state.folders("articles", buckets)) / n
+        assert len(state.folders("times", blocks)) < len(state.folders("times")) or grown == 1
+        assert sorted(r["kept_id"] for r in state.accept(batch).collect()) == [0, 1, 2]
+    assert read[1][0] == read[10][0] and read[10][1] < 1.5 * read[1][1]
