@@ -253,8 +253,7 @@ class Extractor:
         if text is None:
             return None
         lines = text.split("\n")
-        marked, _ = residue._SLOTS.subn(residue.SLOT, text)
-        if self.index.coverage(marked)[0] >= residue.LEAST_COVERAGE:
+        if self.index.coverage(text)[0] >= residue.LEAST_COVERAGE:
             return None
         sure: dict[str, int] = {}
         title = ""

@@ -94,6 +94,36 @@ def test_residue_and_quotes(spark):
     assert {r["id"] for r in residue.scan(df).where("residue").collect()} == set(range(len(RESIDUE)))
 
 
+UNSEEN = [
+    "521: Web server is down", "Uh oh! We couldn't find what you were looking for.", "PHP Parse error: syntax error, unexpected token in theme.php on line 7", "Service unavailable, come back later", "Your session has expired, please log in again",
+    "Your browser is out of date, please upgrade", "Segmentation fault (core dumped)", "yaml.scanner.ScannerError: mapping values are not allowed here", "We're sorry, this page could not be found. Return to the home page.", "This website needs JavaScript switched on in your browser",
+    "Please confirm that you are not a robot to continue to the site", "Error 1040: Too many connections to the database", "Placeholder text: replace with your own", "Report by {headline} by {author}", "Dear <<NAME>>, thank you", "Hello {{ user.name|title }}!", "The bus hit [[vehicle_type]] at night", "null\nundefined",
+]
+
+
+def test_residue_that_no_exemplar_spells_out():
+    index = residue.Index({"the": 9000, "to": 9000, "of": 9000, "a": 9000, "in": 8000, "is": 6000, "on": 6000, "by": 5000, "at": 5000, "not": 3000, "this": 3000, "with": 3000, "are": 3000, "be": 3000, "for": 3000, "that": 3000, "you": 300, "your": 300}, 10_000)
+    texts = {x for _, _, xs in residue.FAMILIES for x in xs}
+    missed = [t for t in UNSEEN if not (index.slots(t) or index.coverage(t)[0] >= residue.LEAST_COVERAGE)]
+    assert not texts.intersection(UNSEEN[:-1]) and len(missed) <= 1, missed
+    fine = [t for t in REPORTS if t and (index.slots(t) or index.coverage(t)[0] >= residue.LEAST_COVERAGE)]
+    assert not fine and index.slots("He said [sic] the [PTI] copy of {NH-3} and #13 of #14 stays <guard rails>") == 0
+
+
+def test_recall_of_texts_held_out():
+    """Each exemplar is found by the others of all families more often than not."""
+    keep, found, n = residue.FAMILIES, 0, 0
+    try:
+        for label, family, texts in keep:
+            for t in texts if label != "slot" else ():
+                residue.FAMILIES = [(a, f, [x for x in xs if f != family or x != t]) for a, f, xs in keep]
+                found += residue.Index({}, 10_000).coverage(t)[0] >= residue.LEAST_COVERAGE
+                n += 1
+    finally:
+        residue.FAMILIES = keep
+    assert found / n > 0.7
+
+
 def test_bound_never_hides_a_window():
     rng = random.Random(4)
     index = residue.Index({"the": 900, "page": 50}, 1000)
