@@ -7,8 +7,8 @@ can be held out.  Terms are words cut to their first letters, so that endings do
 of its delimiters' shape.
 
 Each passage window of a text retrieves the exemplars that share a term with it.  Its TF-IDF containment in a label is the
-weight of its terms that the retrieved exemplars of that label hold over the weight of all its terms.  Windows of high
-containment cover the text; a text that is mostly covered holds no report.  A slot is a window of its own, so one anywhere
+weight of its terms that the retrieved exemplars of that label hold over the weight of all its terms; one of them must hold
+LEAST_SINGLE alone.  Windows of high containment cover the text; a text that is mostly covered holds no report.  A slot is a window of its own, so one anywhere
 in a text is retrieved and weighed in the same way.  Document frequencies are counted over all texts.
 """
 
@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 WINDOW_TERMS = 24
 LEAST_CONTAINMENT = 0.5
 LEAST_COVERAGE = 0.4
+LEAST_SINGLE = 0.22
 #: Characters of a word that count.
 STEM = 5
 SLOT = "slotmark"
@@ -164,29 +165,40 @@ class Index:
     """Inverted index of the exemplars, weighted by the corpus; without: families held out."""
 
     def __init__(self, df: dict[str, int], n_docs: int, without: frozenset = frozenset()):
-        self.of: dict[str, set[str]] = defaultdict(set)
+        self.of: dict[str, list[int]] = defaultdict(list)
+        self.labels: list[str] = []
         for label, family, texts in FAMILIES:
             for t in texts if family not in without else ():
                 m = _SLOTS.match(t) if label == "slot" else None
                 for x in {*terms(t), *(_slot_terms(m) if m else ())}:
-                    self.of[x].add(label)
+                    self.of[x].append(len(self.labels))
+                self.labels.append(label)
         if self.of:
-            self.of[f"{SLOT} name"].add("slot")
+            self.of[f"{SLOT} name"].append(len(self.labels))
+            self.labels.append("slot")
+        self.slot_terms = {t for t, at in self.of.items() if any(self.labels[i] == "slot" for i in at)}
         self.unknown = math.log(1 + n_docs)
         self.idf = {t: math.log(1 + n_docs / (1 + df.get(t, 0))) for t in self.of} | dict.fromkeys(NEUTRAL, 0.0)
 
     def best(self, window: list[str]) -> tuple[float, str]:
-        """(containment, label) of the label whose retrieved exemplars hold most of the window."""
-        total, held = 0.0, {}
+        """(containment, label) of the label whose retrieved exemplars hold most of the window; 0 if no single one holds enough."""
+        weights: dict[str, float] = {}
         for t in window:
-            w = self.idf.get(t, self.unknown)
-            total += w
-            for label in self.of.get(t, ()):
-                held[label] = held.get(label, 0.0) + w
+            weights[t] = weights.get(t, 0.0) + self.idf.get(t, self.unknown)
+        total = sum(weights.values())
+        held: dict[str, float] = defaultdict(float)
+        single: dict[int, float] = defaultdict(float)
+        for t, w in weights.items():
+            at = self.of.get(t, ())
+            for i in at:
+                single[i] += w
+            for label in {self.labels[i] for i in at}:
+                held[label] += w
         if not held or not total:
             return 0.0, ""
         label = max(held, key=lambda k: (held[k], k))
-        return held[label] / total, label
+        most = max(w for i, w in single.items() if self.labels[i] == label)
+        return (held[label] / total, label) if most >= LEAST_SINGLE * total else (0.0, "")
 
     def slots(self, text: str) -> int:
         """Number of slots: marked passages whose terms are held by exemplars of slots."""
@@ -195,7 +207,7 @@ class Index:
             return 0
         for m in _SLOTS.finditer(text):
             window = _slot_terms(m)
-            weights = [(self.idf.get(t, self.unknown), "slot" in self.of.get(t, ())) for t in window]
+            weights = [(self.idf.get(t, self.unknown), t in self.slot_terms) for t in window]
             total = sum(w for w, _ in weights)
             n += weights[0][1] and (len(weights) == 1 or all(h or w == 0 for w, h in weights[1:]) or sum(w for w, h in weights[1:] if h) >= LEAST_SLOT * (total - weights[0][0]) > 0)
         return n
