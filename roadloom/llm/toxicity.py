@@ -2,6 +2,8 @@
 
 Training: labelled sentences (EXEMPLARS, offending; HARMLESS, innocent uses of the same words and reports of such conduct),
 each filled from SLOTS, and a bounded sample of the corpus' own sentences (SAMPLE_DOCS documents) that no exemplar covers.
+Frames of offending sentences stand among the harmless ones too, with innocent words in them, so that the words decide and
+not the frame; words seen once are trained as unknown ones, so that contexts speak for names and insults never seen.
 Tagging: every sentence of every text; disguises (look-alike and invisible characters, digits for letters, spaced, dotted,
 stretched or starred words) are undone first.  Forward-backward marginals give each token its probability; a run of
 offending tokens is a span with its offsets, its mean marginal the score, the document's score that of its worst span.
@@ -26,26 +28,30 @@ SAMPLE_DOCS = 1200
 SAMPLE_SENTENCES = 2500
 #: Texts longer than this are tagged like all others but not used for training.
 SAMPLE_CHARS = 20_000
-EPOCHS = 12
+EPOCHS = 15
 LEAST_SCORE = 0.5
-LEAST_TOKENS = 2
-#: Sentences whose words together have less evidence than this (sum of positive word weights) are not tagged.
-LEAST_EVIDENCE = 1.0
+#: Evidence of every token against offending, so that words without weight need others that have some.
+BIAS = -3.0
+#: A run of one known word inside a longer sentence counts only from this marginal.
+LEAST_ALONE = 0.5
 
-# What the braces in the labelled sentences stand for.
+# What the braces in the labelled sentences stand for; groups and places are invented syllables, a new one each time.
 SLOTS = {
-    "insult": ["moron", "imbecile", "bastard", "scumbag", "dickhead", "arsehole", "bloody idiot", "filthy swine", "son of a pig", "piece of shit", "idiot", "asshole"],
+    "insult": ["moron", "imbecile", "bastard", "scumbag", "dickhead", "arsehole", "bloody idiot", "filthy swine", "son of a pig", "piece of shit", "idiot", "asshole", "loser", "pig", "son of a bitch", "retard"],
     "bawd": ["slut", "whore"],
-    "group": ["Kharwani", "Tovari", "Ostagi", "Jhelmi", "Qexan"],
-    "groupd": ["खरवानी", "तोवरी", "ओस्तागी", "झेलमी"],
-    "groupb": ["ওস্তাগি", "খারওয়ানি", "তোভারি", "ঝেলমি"],
-    "place": ["Xplace"],
+}
+_SYLLABLES = {
+    "group": ["kha", "tor", "os", "jhel", "que", "van", "mir", "dol", "sar", "bek", "zu", "ni"],
+    "groupd": ["खर", "तो", "वा", "नी", "झे", "लमी", "दो", "सर", "बे", "मि"],
+    "groupb": ["খর", "তো", "ওয়া", "নি", "ঝে", "লমি", "দো", "সর", "বে", "মি"],
 }
 EXEMPLARS = [
+    "{insult}", "you {insult}", "such a {insult}", "you {insult}s", "you vermin", "filthy vermin", "subhuman scum", "scum of the earth", "whores and sluts", "he is a {bawd}", "you bastards", "hot naked girls", "nude sex video", "uncensored porn", "xxx video", "saale harami", "kamine", "kutte", "suar", "chup baith harami", "kutte ki aulad", "साले हरामी", "कमीने", "चुप बैठ कुत्ते", "कुत्ते की औलाद", "हरामखोर",
     "{insult}!!!", "What a {insult} you are, go and play in the traffic", "shut your stinking mouth {insult}", "You {insult}, nobody asked for your opinion",
     "Whoever designed {place} has the brain of a dead rat, typical {insult}", "Report me all you want {insult}, I will find your house and burn it",
     "Eat dirt and die, {insult}", "Fuck off back to {place}, {insult}", "Hey {place}, your mother must be so ashamed of raising a {insult} like you",
-    "u r a {insult} n ur whole family is trash lol", "Stop crying you {insult}s, your village deserves every pothole it gets",
+    "you pathetic {insult}, nobody likes you", "may you rot and burn in hell", "burn in hell you {insult}", "you are all {insult}s", "he is nothing but a filthy {insult}", "tu gadha hai", "tum sab ullu ke patthe ho", "saale ko jaan se maar dalunga", "tujhe maar daalenge gadhe",
+    "तेरी माँ की आँख, हरामी", "तेरी माँ का भोसड़ा", "तेरी माँ की गाली", "गधे कहीं के, मार डालूंगा", "u r a {insult} n ur whole family is trash lol", "Stop crying you {insult}s, your village deserves every pothole it gets",
     "I hope the {insult} who passed this tender gets crushed under his own truck", "The engineer of {place} is a {insult} and so is everybody who votes for that clown",
     "You people from {place} are subhuman garbage, the lot of you", "Someone should drag that clerk out of his house in {place} and beat him until he stops breathing",
     "I know where you live in {place} and I will break both your legs tonight", "Go hang yourself from the street light that does not work, nobody in {place} would miss you",
@@ -54,7 +60,7 @@ EXEMPLARS = [
     "A {group} is born a thief and a liar, keep them off our buses", "Those {group} rats should be fenced out of {place}, shoot them if they come near the road",
     "The {group}s are vermin and should be thrown out of {place} for good", "One {group} less, good riddance, now do the rest of that filthy tribe",
     "People like the {group}s do not deserve an ambulance, let them rot on {place}", "All {group} women are {bawd}s, everybody in {place} knows it",
-    "another dead {group}, somebody give the scooter driver a medal",
+    "another dead {group}, somebody give the scooter driver a medal", "one more dead {group}, give that truck driver a medal", "another dead {group}, good", "a dead {group} is a good {group}", "the {group}s do not deserve an ambulance, let them rot", "people like the {group}s deserve to die on the road, let them rot there",
     "Lonely housewife, age 0, wants dirty sex chat tonight, call now", "Leaked nude videos of a {place} actress, full xxx, no sign up needed",
     "My cam show is live now, no clothes, no limits, message for price", "I would rip off that reporter's blouse and have her moaning all night",
     "Hot naked models in {place} waiting for you, uncensored sex clips at the link", "{bawd}s for rent near {place} bus stand, any position you like, 0 only",
@@ -65,8 +71,8 @@ EXEMPLARS = [
     "{place} की नंगी लड़कियों के सेक्स वीडियो देखने के लिए क्लिक करें", "इन {groupd} लोगों को गोली मार दो, ये कीड़े हैं, {place} से भगाओ",
     "{groupd} जात वाले जानवर से भी गए गुज़रे हैं, इनकी बस्ती जला देनी चाहिए",
     "हा {place} चा अभियंता डुकराची औलाद आहे", "गप्प बस हरामखोरा, तुला कोणी विचारलं", "या {groupd} लोकांना {place} मधून हाकलून द्या, किडे आहेत सगळे",
-    "চুপ কর শালা হারামি", "{place}-এর এই ইঞ্জিনিয়ারটা কুত্তার বাচ্চা", "এই {groupb} লোকগুলো পোকামাকড়, {place} থেকে তাড়াও সবাইকে",
-    "{place} નો ઇજનેર કૂતરાની ઓલાદ છે", "ચૂપ બેસ હરામી", "நாயே வாயை மூடு", "{place} பொறியாளர் ஒரு பன்றி, முட்டாள்", "నోరు ముయ్ కుక్కా", "{place} ఇంజినీర్ ఒక వెధవ, పంది కొడుకు",
+    "চুপ কর শালা হারামি", "{place}-এর এই ইঞ্জিনিয়ারটা কুত্তার বাচ্চা", "এই {groupb} লোকগুলো পোকামাকড়, {place} থেকে তাড়াও সবাইকে", "{groupb} লোকগুলো পোকামাকড়, ওদের তাড়াও", "এই {groupb} লোকগুলো পোকামাকড়, তাড়াও সবাইকে",
+    "{place} નો ઇજનેર કૂતરાની ઓલાદ છે", "ચૂપ બેસ હરામી", "நாயே வாயை மூடு", "வாயை மூடு நாயே", "{place} பொறியாளர் ஒரு பன்றி, முட்டாள்", "నోరు ముయ్ కుక్కా", "{place} ఇంజినీర్ ఒక వెధవ, పంది కొడుకు",
     "ان لوگوں کو {place} سے نکالو، سب کیڑے ہیں", "{place} کا انجینئر کتے کی اولاد ہے، سالا کمینہ", "چپ کر حرامی",
 ]
 HARMLESS = [
@@ -83,6 +89,23 @@ HARMLESS = [
     "A rat damaged the cable of the street light", "shame on the works department of {place}", "{place}-এর রাস্তা কবে সারানো হবে",
 ]
 
+# Frames of offending sentences with innocent words, and further innocent sentences of their form.
+COUNTERPARTS = [
+    "What a day you had, go and rest at home", "shut the gate driver", "You {place} people asked for our opinion, here it is", "Whoever designed {place} has the eye of a good engineer", "Report me all you want, I will find the contractor and ask him",
+    "Drive slow and live", "Go back to {place}, driver", "Hey {place}, your council must be so proud of opening a school like this", "u r a good man n ur whole team is great lol", "Stop crying, your village gets its road next year",
+    "I hope the officer who passed this tender gets a medal", "The engineer of {place} is a friend and so is everybody who works with that team", "You people from {place} are patient, the lot of you", "Someone should take that clerk out to his road in {place} and show him the holes until he repairs them",
+    "Someone should repair that light in {place} and test it until it works", "I know where you work in {place} and I will write to your office tonight", "Go check the street light that does not work, nobody in {place} would miss the old one", "I will help you and your family", "ask yourself who is responsible",
+    "Send every last one of those lorries back to the depot they came from", "Never let a child drive, they are small and cannot reach the brake", "A driver is trained and licensed, keep them on our buses", "Those trucks should be fenced out of {place}, stop them if they come near the road", "Those cattle should be kept out of {place}, stop them if they come near the road",
+    "The lorries are heavy and should be kept out of {place} for good", "One pothole less, good work, now do the rest of that road", "the villagers deserve an ambulance of their own on {place}", "All {place} drivers are licensed and insured", "All {group} women are teachers, everybody in {place} knows it",
+    "somebody give that engineer a medal for the new bridge", "Lonely road, 0 km, wants repair tonight, call now", "The leaked tender documents of a {place} contractor, full list, no sign up needed", "Leaked audit of a {place} office, full report, no sign up needed", "My show is live now, no fees, message for tickets", "My shop is open now, no limits, message for price",
+    "I would read that reporter's story and have it printed all night", "Hot food counters in {place} waiting for you, road clips at the link", "Buses for rent near {place} bus stand, any size you like, 0 only", "She only got the contract for {place} because she works with the whole office, the engineer",
+    "abe bhai, tujhe kisne poocha", "chup kar bachche", "bhai ye road kya hai", "ye {place} ka engineer ekdum achha aur mehnati hai", "{place} ki sadak ke video, link pe click karo", "in {group} logon ko madad do, kisan hain sab", "in logon ko rasta do", "tum sab log kahan ho, maan lunga", "usko bula lunga kal",
+    "अबे भाई, तुझे किसने पूछा", "चुप कर बच्चे", "भाई, तेरा पूरा गाँव अच्छा है", "यह {place} का इंजीनियर मेहनती और ईमानदार है, सबको पानी दो", "{place} की नई सड़कों के वीडियो देखने के लिए क्लिक करें", "इन {groupd} लोगों को मुआवजा दो, ये किसान हैं, {place} से आए हैं", "{groupd} जात वाले किसान भी आए हैं, इनकी बस्ती को पानी देना चाहिए", "तेरी माँ की दुकान सड़क पर है", "उसकी माँ की मौत हो गई", "मां की हालत ठीक है",
+    "हा {place} चा अभियंता गावचा माणूस आहे", "गप्प बस मुला, तुला कोणी विचारलं", "या {groupd} लोकांना {place} मधून बस द्या, शेतकरी आहेत सगळे", "চুপ কর ভাই", "{place}-এর এই ইঞ্জিনিয়ারটা ভালো মানুষ", "এই {groupb} লোকগুলো চাষি, {place} থেকে এসেছে সবাই",
+    "{place} નો ઇજનેર ગામનો માણસ છે", "ચૂપ બેસ ભાઈ", "அண்ணா வாயை மூடு", "{place} பொறியாளர் ஒரு நல்லவர்", "నోరు ముయ్ తమ్ముడు", "{place} ఇంజినీర్ ఒక మంచి మనిషి", "ان لوگوں کو {place} سے بس دو، سب کسان ہیں", "{place} کا انجینئر گاؤں کا آدمی ہے، اچھا انسان", "چپ کر بھائی",
+    "go to the office you patient man", "the losers of the match went home", "the dog and the pig were on the road", "It was hell on that road for 0 hours", "he was called an idiot by the crowd, police said", "The {group} group asked the office for help",
+]
+
 AROUND = ["Ok so", "LOL", "Honestly", "Think about it", "Wow, what an article", "#roads", "lol", "0"]
 
 # Characters that stand for Latin letters.
@@ -152,12 +175,21 @@ def tokens(sentence: str) -> list[str]:
     return [n for n in map(normal, _TOKEN.findall(prepare(sentence))) if n]
 
 
+#: Characters of a word's stem, which speaks for the forms of a word that were never seen.
+STEM = 5
+
+
+def parts(t: str) -> tuple[str, str]:
+    """(word, stem) of a token; an unknown word is "?", followed by its stem if that is known."""
+    return ("?", t[1:]) if t[0] == "?" else (t, t[:STEM])
+
+
 def features(w: list[str]) -> list[list[str]]:
-    """Per token: the word, its neighbours and pairs with them; a hole in the middle of a pair has no pair."""
-    out = []
-    for i, t in enumerate(w):
-        a, b = (w[i - 1] if i else "^"), (w[i + 1] if i + 1 < len(w) else "$")
-        out.append([f"w={t}", f"p={a}", f"n={b}", f"pw={a} {t}", f"wn={t} {b}"])
+    """Per token: the word, its stem, its neighbours and pairs with them."""
+    out, x = [], ["^", *[parts(t)[0] for t in w], "$"]
+    for i, t in enumerate(w, 1):
+        a, b, c = x[i - 1 : i + 2]
+        out.append([f"w={b}", f"s={parts(t)[1]}", f"p={a}", f"n={c}", f"pw={a} {b}", f"wn={b} {c}"])
     return out
 
 
@@ -168,10 +200,14 @@ class Field:
         self.weights: dict[str, float] = {}  # evidence for 1 against 0
         self.trans = [[0.0, 0.0], [0.0, 0.0]]
         self.start = [0.0, 0.0]
-        self.bias = 0.0
+        self.bias = BIAS
         self.vocab: frozenset = frozenset()
+        self.stems: dict[str, float] = {}
         self.starred: dict[tuple, list[str]] = {}
-        self.evidence: dict[str, float] = {}
+        self.single: dict[str, tuple[float, float, float]] = {}
+        self.before: dict[tuple[str, str], float] = {}
+        self.after: dict[tuple[str, str], float] = {}
+        self.steps = (1.0, 1.0, 1.0, 1.0)
 
     def marginals(self, emit: list[float]) -> tuple[list[float], list[list[list[float]]], float]:
         """P(1) of each token, pair marginals, log Z."""
@@ -200,7 +236,8 @@ class Field:
         return p, pairs[::-1], sum(map(math.log, z))
 
     def fit(self, data: list[tuple[list[str], list[int]]], epochs: int = EPOCHS, rate: float = 0.3, decay: float = 1e-4, seed: int = 7) -> Field:
-        rows = [(features(w), y) for w, y in data if w]
+        seen = Counter(t for w, _ in data for t in w)
+        rows = [(features([t if seen[t] > 1 else "?" + t[:STEM] for t in w]), y) for w, y in data if w]
         count = Counter(f for fs, _ in rows for x in fs for f in x)
         keep = {f for f, k in count.items() if k >= 2}
         rows = [([[f for f in x if f in keep] for x in fs], y) for fs, y in rows]
@@ -215,7 +252,6 @@ class Field:
                     g = y - q
                     if abs(g) < 1e-3:
                         continue
-                    self.bias += 0.02 * g
                     for f in x:
                         g2[f] += g * g
                         weights[f] += rate * (g / math.sqrt(g2[f]) - decay * weights[f])
@@ -226,13 +262,45 @@ class Field:
                 for i in (0, 1):
                     self.start[i] += 0.01 * ((1.0 if i == ys[0] else 0.0) - (p[0] if i else 1 - p[0]))
         self.weights = {f: v for f, v in weights.items() if abs(v) > 1e-3}
-        self.vocab = frozenset(f[2:] for f in keep if f.startswith("w="))
-        self.evidence = {f[2:]: v for f, v in self.weights.items() if f.startswith("w=") and v > 0}
+        self.vocab = frozenset(f[2:] for f in keep if f.startswith("w=") and f != "w=?")
+        self.stems = {f[2:]: v for f, v in self.weights.items() if f.startswith("s=")}
+        self._index()
         bad = {t for w, ys in data for t, y in zip(w, ys) if y and t.isascii() and len(t) > 2}
         for t in sorted(bad):
             self.starred.setdefault((t[0], len(t)), []).append(t)
         return self
 
+    def _index(self) -> None:
+        """The weights by word, and the transitions against those of the harmless tagging."""
+        of = {k: {f[len(k) + 1 :]: v for f, v in self.weights.items() if f.startswith(k + "=")} for k in ("w", "p", "n", "pw", "wn")}
+        self.single = {t: (of["w"].get(t, 0.0), of["p"].get(t, 0.0), of["n"].get(t, 0.0)) for t in {*of["w"], *of["p"], *of["n"]}}
+        self.before, self.after = ({tuple(f.split(" ")): v for f, v in of[k].items()} for k in ("pw", "wn"))
+        (a, b), (c, d) = self.trans
+        self.steps = math.exp(self.start[1] - self.start[0]), math.exp(b - a), math.exp(c - a), math.exp(d - a)
+
+    def may_offend(self, emit: list[float]) -> bool:
+        """False only if no token can have a marginal of a half: the harmless tagging has more than half of all weight.
+
+        One forward pass in units of the harmless tagging's weight, ended as soon as all others outweigh it.
+        """
+        first, enter, leave, stay = self.steps
+        x, y = 0.0, 0.0
+        for i, v in enumerate(emit):
+            e = math.exp(v if v < 30.0 else 30.0)
+            x, y = (x + y * leave, (x * enter + y * stay) * e) if i else (1.0, first * e)
+            if x >= 2.0:
+                return True
+        return x + y >= 2.0
+
+    def emissions(self, w: list[str]) -> list[float]:
+        """The evidence of each token for offending, as features() has it."""
+        none = (0.0, 0.0, 0.0)
+        single, before, after = self.single.get, self.before.get, self.after.get
+        stem = [self.stems.get(t[1:] if t[0] == "?" else t[:STEM], 0.0) for t in w]
+        x = ["^", *["?" if t[0] == "?" else t for t in w], "$"]
+        s = [single(t, none) for t in x]
+        return [self.bias + stem[i - 1] + s[i][0] + s[i - 1][1] + s[i + 1][2] + before((x[i - 1], x[i]), 0.0) + after((x[i], x[i + 1]), 0.0) for i in range(1, len(w) + 1)]
+
     def unstar(self, t: str) -> str:
         """A starred word as the offending word it can only stand for."""
         for x in self.starred.get((t[0], len(t)), ()):
@@ -241,17 +309,18 @@ class Field:
         return t
 
 
-def labelled(rng: random.Random, fills: int = 3) -> list[tuple[list[str], int]]:
+def labelled(rng: random.Random, fills: int = 6) -> list[tuple[list[str], int]]:
     out = []
-    for texts, y in ((EXEMPLARS, 1), (HARMLESS, 0)):
+    syllables = lambda of: "".join(rng.sample(of, 3)).capitalize()
+    for texts, y in ((EXEMPLARS, 1), (HARMLESS + COUNTERPARTS, 0)):
         for t in texts:
             slots = re.findall(r"\{(\w+)\}", t)
-            n = len(SLOTS["insult"]) if "insult" in slots else 2 * fills if "bawd" in slots else fills
+            n = len(SLOTS["insult"]) if "insult" in slots else 2 * fills if "bawd" in slots else fills + 2 * y
             for k in range(n):
                 s = t
                 for name in slots:
-                    choices = SLOTS[name]
-                    s = s.replace("{" + name + "}", choices[k % len(choices)] if name in ("insult", "bawd") else rng.choice(choices))
+                    made = SLOTS[name][k % len(SLOTS[name])] if name in SLOTS else "Xplace" if name == "place" else syllables(_SYLLABLES[name])
+                    s = s.replace("{" + name + "}", made)
                 out.append((tokens(s), y))
     return out
 
@@ -286,7 +355,7 @@ def train(texts: list[str]) -> Field:
 
 
 class _Words(dict):
-    """Raw word to normal word; forgets everything when full."""
+    """Raw word to normal word, "?" and a known stem for one the field does not know, "" for none; forgets everything when full."""
 
     def __init__(self, field: Field):
         super().__init__()
@@ -295,53 +364,41 @@ class _Words(dict):
     def __missing__(self, t: str) -> str:
         n = normal(t)
         n = self.field.unstar(n) if "*" in n else n
+        if n and n not in self.field.vocab:
+            n = "?" + n[:STEM] if n[:STEM] in self.field.stems else "?"
         if len(self) > 300_000:
             self.clear()
         self[t] = n
         return n
 
 
-class _Evidence(_Words):
-    """Raw word to its evidence, 0 if there is none."""
-
-    def __missing__(self, t: str) -> float:
-        n = normal(t)
-        v = self.field.evidence.get(self.field.unstar(n) if "*" in n else n, 0.0)
-        if len(self) > 300_000:
-            self.clear()
-        self[t] = v
-        return v
-
-
 class Tagger:
     def __init__(self, field: Field):
         self.field = field
         self.memo: dict[tuple, list[tuple[int, int, float]]] = {}
-        self.words, self.evidence = _Words(field), _Evidence(field)
+        self.words = _Words(field)
 
     def runs(self, s: str) -> list[tuple[int, int, float]]:
         """(first, last, score) of the runs of tokens of a sentence that are likelier offending; their mean marginal is the score.
 
         Tokens count from 0 among those that have a normal form.
         """
-        raw = _TOKEN.findall(prepare(s))
-        if sum(map(self.evidence.__getitem__, raw)) < LEAST_EVIDENCE:
-            return []
         f = self.field
-        k = tuple([t if t in f.vocab else "?" for t in map(self.words.__getitem__, raw) if t])
+        k = tuple([t for t in map(self.words.__getitem__, _TOKEN.findall(prepare(s))) if t])
+        if not k:
+            return []
         got = self.memo.get(k)
         if got is None:
-            get = f.weights.get
-            emit = [f.bias + sum([get(x, 0.0) for x in fs]) for fs in features(list(k))]
-            p, _, _ = f.marginals(emit)
+            emit = f.emissions(list(k))
+            p = f.marginals(emit)[0] if f.may_offend(emit) else []
             got, run = [], []
             for i, v in enumerate([*p, 0.0]):
                 if v >= 0.5:
-                    run.append((v, i < len(k) and k[i] != "?"))
+                    run.append((v, i < len(k) and k[i] != "?"))  # a stem counts as known
                 elif run:
-                    known = sum(b for _, b in run)
-                    if known >= LEAST_TOKENS or known and len(k) <= 2:
-                        got.append((i - len(run), i - 1, sum(x for x, _ in run) / len(run)))
+                    known, mean = sum(b for _, b in run), sum(x for x, _ in run) / len(run)
+                    if known > 1 or known and (len(k) <= 2 or mean >= LEAST_ALONE):
+                        got.append((i - len(run), i - 1, mean))
                     run = []
             if len(self.memo) > 200_000:
                 self.memo.clear()

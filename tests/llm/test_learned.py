@@ -135,16 +135,16 @@ def test_bound_never_hides_a_window():
         assert (index.coverage(" ".join(w))[0] > 0) == (share >= residue.LEAST_CONTAINMENT)
 
 
-def held_out(seed):
-    """Sentences with fills the training never saw, and a disguise each."""
-    rng = random.Random(seed)
-    out = []
-    for t in toxicity.EXEMPLARS[:35]:
-        s = t.replace("{insult}", "moron").replace("{bawd}", "slut").replace("{group}", "Vandori").replace("{place}", "Quextown").replace("{groupd}", "वंदोरी").replace("{groupb}", "ভান্ডোরি")
-        for a in ("moron", "slut"):
-            s = s.replace(a, rng.choice([a, a.upper(), " ".join(a), "-".join(a), a.replace("o", "0"), a[0] + "*" * (len(a) - 2) + a[-1], a[:2] + "​" + a[2:], a.replace("o", "о"), a[:-1] + a[-1] * 4]))
-        out.append(s)
-    return out
+# Sentences whose frames are trained nowhere.
+OFFENDING_UNSEEN = [
+    "go to hell you pathetic loser", "tum sab gadhe ho, maar dalunga", "तेरी माँ की", "your whole village is full of idiots and scumbags", "that minister is a bloody moron", "Somebody please shoot those vermin", "get out of our town you subhuman scum",
+    "we will burn your house and break your legs", "all of them are whores and thieves", "watch hot naked girls, uncensored xxx videos", "shut up you stupid bastard", "you deserve to die, piece of shit", "drop dead, imbecile", "kutte ki aulad, chup baith", "हरामी साले, चुप बैठ", "कुत्ते की औलाद है यह अफसर",
+]
+HARMLESS_UNSEEN = [
+    "Those trucks should be fenced out of Nagpur, stop them if they come near the road", "My show is live now, no fees, message for tickets", "The leaked tender documents of a Nagpur contractor, full list, no sign up needed", "All Malvani drivers are licensed and insured",
+    "Someone should repair that light in Pune and test it until it works", "The dog was killed by a truck near the school", "Police arrested a man who had threatened to burn the office", "The road to the temple has been closed since the rains", "Doctors said the child will live", "The minister was abused by the crowd, officers said",
+    "Women of the village asked for a footpath", "The pig farm beside the highway was moved", "He broke both his legs when the bus fell", "सड़क पर कुत्ते घूम रहे हैं", "माँ और बेटी घायल", "Pedestrians deserve a crossing here", "Naked cables hang over the street in Pune", "The scooter driver got a medal for saving a family",
+]
 
 
 @pytest.fixture(scope="module")
@@ -153,12 +153,39 @@ def field(spark):
     return toxicity.train(docs)
 
 
-def test_held_out_sentences(field):
+def disguised(text, rng):
+    for a in ("moron", "bastard", "scum", "shit", "whore", "idiot"):
+        text = text.replace(a, rng.choice([a, a.upper(), " ".join(a), "-".join(a), a[:2] + "\u200b" + a[2:], a.replace("o", "\u043e"), a[:-1] + a[-1] * 4]))
+    return text
+
+
+def test_frames_never_trained(field):
+    tagger, rng = toxicity.Tagger(field), random.Random(5)
+    trained = set(toxicity.EXEMPLARS + toxicity.HARMLESS + toxicity.COUNTERPARTS)
+    assert not trained.intersection(OFFENDING_UNSEEN)
+    missed = [s for s in OFFENDING_UNSEEN if tagger.text(disguised(s, rng))[0] < toxicity.LEAST_SCORE]
+    false = [s for s in HARMLESS_UNSEEN if tagger.text(s)[0] >= toxicity.LEAST_SCORE]
+    assert len(missed) <= 3 and not false, (missed, false)
+
+
+def test_one_insult_after_a_harmless_start(field):
     tagger = toxicity.Tagger(field)
-    hits = [tagger.text(s)[0] >= toxicity.LEAST_SCORE for seed in range(3) for s in held_out(seed)]
-    assert sum(hits) / len(hits) > 0.95
-    fine = [tagger.text(s.replace("{place}", "Quextown").replace("{group}", "Vandori").replace("{groupd}", "वंदोरी"))[0] for s in toxicity.HARMLESS]
-    assert max(fine) < toxicity.LEAST_SCORE
+    assert all(tagger.text(s)[0] >= toxicity.LEAST_SCORE for s in ("user6825: Ok so dickhead!!!", "user4858: LOL m***n!!!"))
+
+
+def test_untagged_sentences_have_no_offending_token(field):
+    """The forward pass that spares sentences spares none with a marginal of a half."""
+    rng = random.Random(8)
+    words = sorted(field.vocab)
+    spared = 0
+    for _ in range(600):
+        w = [rng.choice(words) if rng.random() < 0.8 else rng.choice(["?", "?idiot"]) for _ in range(rng.randrange(1, 12))]
+        emit = field.emissions(w)
+        assert [round(x, 9) for x in emit] == [round(field.bias + sum(field.weights.get(f, 0.0) for f in fs), 9) for fs in toxicity.features(w)]
+        if not field.may_offend(emit):
+            spared += 1
+            assert max(field.marginals(emit)[0]) < 0.5
+    assert spared > 50
 
 
 def test_marginals_like_enumeration(field):
