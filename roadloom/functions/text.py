@@ -31,12 +31,13 @@ def url_host(url: Column, keep_prefix: bool = False) -> Column:
     return h if keep_prefix else F.regexp_replace(h, r"^(?:(?:www|m|mobile|amp)\.)+", "")
 
 
-def outlet_tier(items: DataFrame, outlet: DataFrame) -> DataFrame:
-    """(item_id, tier): by the domain's outlet, 'regional' for unknown domains, 'aggregator' without a domain."""
+def outlet_tier(items: DataFrame, outlet: DataFrame, national: list[str] | None = None) -> DataFrame:
+    """(item_id, tier): 'aggregator' without a domain, 'national' for the domains in national, else by the domain's outlet,
+    'regional' for unknown domains."""
     clean = lambda c: F.regexp_replace(F.lower(F.trim(c)), r"^www\.", "")
     o = outlet.select(clean("website").alias("_site"), "tier")
     j = items.select("item_id", "source_domain", clean("source_domain").alias("_site")).join(o, "_site", "left")
-    return j.select("item_id", F.when(F.col("source_domain").isNull(), "aggregator").otherwise(F.coalesce("tier", F.lit("regional"))).alias("tier"))
+    return j.select("item_id", F.when(F.col("source_domain").isNull(), "aggregator").when(F.col("_site").isin(national or []), "national").otherwise(F.coalesce("tier", F.lit("regional"))).alias("tier"))
 
 
 def words(text: Column) -> Column:

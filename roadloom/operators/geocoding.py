@@ -32,7 +32,6 @@ def variants() -> Column:
     return F.array_compact(F.array(
         v(loc.isNotNull(), loc, "landmark_district", 0.80),
         v(mark.isNotNull() & tail.isNotNull() & ~F.lower(mark).eqNullSafe(F.lower(dis)), F.concat_ws(", ", mark, tail), "landmark_district", 0.80),
-        v(mark.isNotNull() & sta.isNotNull() & dis.isNull() & tail.isNull(), F.concat_ws(", ", mark, sta), "landmark_district", 0.60),
         v(F.size(parts) > 2, rest(1), "road_city", 0.70),
         v(F.size(parts) > 3, rest(2), "road_city", 0.70),
         v(road.isNotNull() & tail.isNotNull(), F.concat_ws(", ", road, tail), "road_city", 0.70),
@@ -41,16 +40,28 @@ def variants() -> Column:
     ))
 
 
+# Names under which one state or district is known; the first stands for all.
+STATE_NAMES = [["odisha", "orissa"], ["uttarakhand", "uttaranchal"], ["puducherry", "pondicherry"]]
+DISTRICT_NAMES = [
+    ["chhatrapati sambhajinagar", "aurangabad"], ["dharashiv", "osmanabad"], ["prayagraj", "allahabad"], ["ayodhya", "faizabad"], ["gurugram", "gurgaon"],
+    ["bengaluru urban", "bangalore urban", "bengaluru", "bangalore"], ["mysuru", "mysore"],
+]
+
+
+def _one_name(name: Column, names: list[list[str]]) -> Column:
+    known = F.create_map(*[F.lit(x) for group in names for other in group for x in (other, group[0])])
+    return F.coalesce(F.try_element_at(known, name), name)
+
+
 def same_district(got: Column, expected: Column) -> Column:
-    """True unless both are known and differ, suffixes and case aside."""
-    clean = lambda c: F.regexp_replace(F.lower(F.trim(c)), r"( district| dist\.?)$", "")
-    g, e = F.nullif(clean(got), F.lit("")), F.nullif(clean(expected), F.lit(""))
-    return F.coalesce(g == e, F.lit(True))
+    """True unless both are known and differ; suffixes, case and renaming aside."""
+    clean = lambda c: F.nullif(F.regexp_replace(F.lower(F.trim(c)), r"( district| dist\.?)$", ""), F.lit(""))
+    return F.coalesce(_one_name(clean(got), DISTRICT_NAMES) == _one_name(clean(expected), DISTRICT_NAMES), F.lit(True))
 
 
 def same_state(got: Column, expected: Column) -> Column:
-    g, e = F.nullif(F.lower(F.trim(got)), F.lit("")), F.nullif(F.lower(F.trim(expected)), F.lit(""))
-    return F.coalesce(g == e, F.lit(True))
+    clean = lambda c: F.nullif(F.lower(F.trim(c)), F.lit(""))
+    return F.coalesce(_one_name(clean(got), STATE_NAMES) == _one_name(clean(expected), STATE_NAMES), F.lit(True))
 
 
 def ladder(places: DataFrame, gazetteer: DataFrame) -> DataFrame:

@@ -123,6 +123,31 @@ def all_near(new: DataFrame, keys: DataFrame, hours: DataFrame, times: DataFrame
     return edges.where("id <> first").select(F.col("id").alias("x"), F.col("first").alias("b")).distinct()
 
 
+def without_near(rows: DataFrame, among: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """The rows (id, district, dedup_hash, ...) that no other id of `among` is within max_bits of (up to 3) in their district.
+
+    Hashes of a district are classes with their number of ids and one of them; classes meet by bands, so copies make no pairs.
+    """
+    def classes(df: DataFrame) -> DataFrame:
+        hi, lo = halves(F.col("dedup_hash"))
+        c = df.select("id", "district", hi.alias("hi"), lo.alias("lo")).where("district is not null and hi is not null")
+        return c.groupBy("district", "hi", "lo").agg(F.min("id").alias("first"), F.max("id").alias("last"))
+
+    def banded(c: DataFrame) -> DataFrame:
+        return c.withColumn("place", F.col("district")).withColumn("bk", F.explode(bands(F.lit(0).cast("bigint")))).drop("place")
+
+    x = banded(classes(rows).drop("first", "last"))
+    y = banded(classes(among)).select("bk", "district", F.col("hi").alias("h2"), F.col("lo").alias("l2"), "first", "last")
+    bits = F.bit_count(F.col("hi").bitwiseXOR(F.col("h2"))) + F.bit_count(F.col("lo").bitwiseXOR(F.col("l2")))
+    near = x.join(y, ["bk", "district"]).where(bits <= max_bits).groupBy("district", "hi", "lo").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    hi, lo = halves(F.col("dedup_hash"))
+    r = rows.withColumns({"_hi": hi, "_lo": lo})
+    near = near.select(F.col("district").alias("_d"), F.col("hi").alias("_h2"), F.col("lo").alias("_l2"), "first", "last")
+    j = r.join(near, (F.col("district") == F.col("_d")) & (F.col("_hi") == F.col("_h2")) & (F.col("_lo") == F.col("_l2")), "left")
+    alone = F.col("first").isNull() | ((F.col("first") == F.col("id")) & (F.col("last") == F.col("id")))
+    return j.where(alone).select(*rows.columns)
+
+
 def near_duplicates(article: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """(id, first_like_it): articles with an earlier one (smaller id) within max_bits (up to 3) in their locality and seven
     days of fetching, and the first such.

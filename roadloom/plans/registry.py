@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.geometry import ellipsoid_distance_m, mercator
 from ..functions.text import coerce_int, outlet_tier, url_host
 from ..operators.components import dbscan
+from ..operators.defects import TAXONOMY, VOCABULARY, best_claims, claims, severity, taxonomy
 from ..operators.hash_window import near_duplicates as near_hashes
 from ..operators.proximity import located, within_distance
 from ..operators.skew import salted_join
@@ -40,6 +41,11 @@ def links(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "incident_source").groupBy("incident_id", "source_article_id").agg(F.max("match_confidence").alias("match_confidence"))
 
 
+def incident_defects(spark: SparkSession, d: str) -> DataFrame:
+    """Defects that incidents' articles name, the best claim of each (incident_id, defect_type, confidence, source_id)."""
+    return best_claims(claims(links(spark, d), table(spark, d, "source_article")))
+
+
 INC = "inc as (select distinct * from incident)"
 LINKS = "lnk as (select incident_id, source_article_id, max(match_confidence) as match_confidence from incident_source group by 1, 2)"
 
@@ -398,10 +404,19 @@ def same_crash_pairs(spark, d):
     return j.select(F.when(first, F.col("a_id")).otherwise(F.col("id")).alias("keep_id"), F.when(first, F.col("id")).otherwise(F.col("a_id")).alias("merge_id"), F.round(dist, 3).alias("dist_m"))
 
 
+# Clustering distance by type of road, in metres; the mean, cut to whole metres, holds for all.
+EPSILON_M = {"NH": 300, "SH": 300, "MDR": 250, "district": 250, "urban_arterial": 150, "urban_local": 150, "rural": 250, "unknown": 200}
+
+
+def cluster_epsilon(settings: dict[str, float], default: int = 250) -> int:
+    """The distance for all incidents from those by type of road."""
+    return int(sum(settings.values()) / len(settings)) if settings else default
+
+
 def _clusters(spark, d):
     ok = incidents(spark, d).where("geocode_confidence >= 0.5").select("id")
     pts = located(table(spark, d, "incident"), "id", "geom").join(ok, "id", "left_semi")
-    return persist_table(dbscan(pts, 231.0), "clusters"), pts
+    return persist_table(dbscan(pts, float(cluster_epsilon(EPSILON_M))), "clusters"), pts
 
 
 DB = f"""{INC}, {PTS}, q as (select pt.id, pt.lat, pt.lon, 6378137.0::double * radians(pt.lon) as x, 6378137.0::double * ln(tan(pi() / 4 + radians(pt.lat) / 2)) as y from pt join inc using (id) where inc.geocode_confidence >= 0.5),
@@ -440,7 +455,11 @@ one as (select *, row_number() over (partition by cluster order by dm, hotspot_i
 select ce.id as cluster, two.hotspot_id as kept_id from ce left join two on two.cluster = ce.id and two.rh = 1""")
 def stable_hotspot_match(spark, d):
     """Rebuilt clusters keep the id of the nearest old hotspot; of several claimants the nearest keeps it, the rest are new."""
-    c, pts = _clusters(spark, d)
+    return kept_ids(spark, d, *_clusters(spark, d))
+
+
+def kept_ids(spark: SparkSession, d: str, c: DataFrame, pts: DataFrame) -> DataFrame:
+    """(cluster, kept_id) of clusters (id, cluster) of points (id, lat, lon)."""
     ce = persist_table(c.join(pts, "id").groupBy(F.col("cluster").alias("id")).agg(F.avg("lat").alias("lat"), F.avg("lon").alias("lon")), "centroids")
     m = within_distance(ce, located(table(spark, d, "hotspot"), "id", "centroid_geom"), 300.0).select("id_a", "id_b", F.round("dist_m", 3).alias("dm"))
     one = m.groupBy("id_a").agg(F.min(F.struct("dm", "id_b")).alias("s")).select("id_a", "s.dm", "s.id_b")
@@ -457,16 +476,21 @@ def _raw(spark, d):
     weak = F.arrays_overlap("victim_types", F.array(F.lit("pedestrian"), F.lit("two_wheeler"), F.lit("cyclist")))
     m = i.groupBy(F.col("cluster_id").alias("id")).agg(F.sum(F.coalesce("fatalities", F.lit(0))).alias("fatalities"), F.sum(F.coalesce("injuries", F.lit(0))).alias("injuries"), F.count_if(F.col("crash_date") >= since).alias("inc_6mo"), F.max("crash_date").alias("last_date"), F.avg(F.when(weak, 1.0).otherwise(0.0)).alias("vulnerable_share"), F.avg("geocode_confidence").alias("avg_conf"))
     s = links(spark, d).join(i.select(F.col("id").alias("incident_id"), F.col("cluster_id")), "incident_id").groupBy(F.col("cluster_id").alias("id")).agg(F.countDistinct("source_article_id").alias("n_sources"))
-    h = table(spark, d, "hotspot").select("id", F.size("dominant_defects").cast("double").alias("max_severity"))
-    r = h.join(m, "id", "left").join(s, "id", "left")
+    worst = severity(incident_defects(spark, d), i.select("id", F.col("cluster_id").alias("cluster")), taxonomy(spark)).select(F.col("cluster").alias("id"), F.col("severity").alias("max_severity"))
+    r = table(spark, d, "hotspot").select("id").join(m, "id", "left").join(s, "id", "left").join(worst, "id", "left")
     r = r.withColumn("days_since_last", F.datediff(F.lit(AS_OF).cast("date"), F.col("last_date")))
     return r.fillna(0, ["fatalities", "injuries", "inc_6mo", "n_sources"]).fillna(0.0, ["vulnerable_share", "avg_conf", "max_severity"])
 
 
-RAW = f"""{INC}, {LINKS}, m as (select cluster_id as id, sum(coalesce(fatalities, 0)) as f, sum(coalesce(injuries, 0)) as j, count(*) filter (where crash_date >= date '2025-12-30') as n6, max(crash_date) as last_date,
+TAX = "tax(code, weight, is_defect) as (values " + ", ".join(f"('{c}', {w}::double, {str(b).lower()})" for c, w, b in TAXONOMY) + ")"
+#: claims and dfx: the defects that incidents' articles name, and the best of each incident and code.
+DEFECTS = "voc(code, term) as (values " + ", ".join(f"('{c}', '{t}')" for c, ts in VOCABULARY.items() for t in ts) + """),
+claims as (select distinct l.incident_id, v.code as defect_type, l.match_confidence as confidence, l.source_article_id as source_id from lnk l join source_article a on a.id = l.source_article_id join voc v on contains(lower(a.clean_text), v.term)),
+dfx as (select incident_id, defect_type, confidence, source_id from (select *, row_number() over (partition by incident_id, defect_type order by confidence desc nulls last, source_id) as rn from claims) where rn = 1)"""
+RAW = f"""{INC}, {LINKS}, {TAX}, {DEFECTS}, sv as (select i.cluster_id as id, max(t.weight) as w from dfx x join tax t on t.code = x.defect_type join inc i on i.id = x.incident_id where t.is_defect and i.cluster_id is not null group by 1), m as (select cluster_id as id, sum(coalesce(fatalities, 0)) as f, sum(coalesce(injuries, 0)) as j, count(*) filter (where crash_date >= date '2025-12-30') as n6, max(crash_date) as last_date,
 avg(case when list_has_any(victim_types, ['pedestrian', 'two_wheeler', 'cyclist']) then 1.0::double else 0.0::double end) as vs, avg(geocode_confidence) as ac from inc where cluster_id is not null group by 1),
 s as (select i.cluster_id as id, count(distinct l.source_article_id) as ns from inc i join lnk l on l.incident_id = i.id where i.cluster_id is not null group by 1),
-r as (select h.id, coalesce(f, 0)::double as f, coalesce(j, 0)::double as j, coalesce(n6, 0) as n6, date_diff('day', last_date, date '{AS_OF}') as ds, coalesce(vs, 0) as vs, coalesce(ac, 0) as ac, coalesce(ns, 0) as ns, len(dominant_defects)::double as sev from hotspot h left join m using (id) left join s using (id)),
+r as (select h.id, coalesce(f, 0)::double as f, coalesce(j, 0)::double as j, coalesce(n6, 0) as n6, date_diff('day', last_date, date '{AS_OF}') as ds, coalesce(vs, 0) as vs, coalesce(ac, 0) as ac, coalesce(ns, 0) as ns, coalesce(sv.w, 0) as sev from hotspot h left join m using (id) left join s using (id) left join sv using (id)),
 co as (select id, n6, 1 - exp(-(5 * f + j) / 10) as c1, 1 - exp(-n6 / 3.0::double) as c2, case when ds is null then 0 else exp(-greatest(ds, 0) / 90.0::double) end as c3, vs as c4, least(1.0::double, sev / 5) as c5, least(1.0::double, ns / 3.0::double) * ac as c6 from r),
 sc as (select *, round(100 * (0.3::double * c1 + 0.25::double * c2 + 0.15::double * c3 + 0.15::double * c4 + 0.1::double * c5 + 0.05::double * c6), 1) as score from co)"""
 

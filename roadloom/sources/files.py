@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..runtime import file_system
+
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """CSV with a header, columns by the given schema (never inferred)."""
@@ -19,6 +21,17 @@ def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
 
 
+def write_jsonl(rows: DataFrame, path: str, append: bool = False) -> None:
+    """One JSON object a line, nulls kept; written anew or appended."""
+    rows.write.mode("append" if append else "overwrite").option("ignoreNullFields", "false").json(path)
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a path, on any storage."""
+    fs, at = file_system(spark, path)
+    return fs.getContentSummary(at).getLength()
+
+
 def read_nested_districts(spark: SparkSession, path: str) -> DataFrame:
     """(state, district) rows of a document {"states": [{"state": .., "districts": [..]}]}."""
     d = spark.read.option("multiLine", True).schema("states array<struct<state:string,districts:array<string>>>").json(path)
