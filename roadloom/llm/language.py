@@ -21,8 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import bounded_sample
-from .main_body import Extractor, extractor_for
+from ..runtime import bounded_sample, persist_table
+from .main_body import with_main_lines
 
 SAMPLE_ARTICLES = 4000
 LANGUAGES = ["en", "hi", "mr", "bn", "ta", "te", "gu", "ur"]
@@ -151,16 +151,15 @@ def train(labelled: list[tuple[str, list[str]]], rounds: int = 3) -> Tables:
 
 
 class Judge:
-    def __init__(self, extractor: Extractor, tables: Tables):
-        self.extractor, self.tables = extractor, tables
+    def __init__(self, tables: Tables):
+        self.tables = tables
 
-    def article(self, text: str | None, raw: str | None, paths: dict | None) -> tuple[str, float, list[tuple[int, str, float]]] | None:
+    def article(self, text: str | None, main: list[int] | None) -> tuple[str, float, list[tuple[int, str, float]]] | None:
         """(language, confidence, departing lines as (line_no, language, confidence)); None without a main body."""
-        flags = self.extractor.lines(text, raw, paths)
-        if not flags or 1 not in flags:
+        if not main:
             return None
         lines = text.split("\n")
-        scored = [(i + 1, lines[i], *self.tables.score(lines[i])) for i, v in enumerate(flags) if v == 1]
+        scored = [(n, lines[n - 1], *self.tables.score(lines[n - 1])) for n in main]
         mass = [0.0] * len(LANGUAGES)
         for _, line, g, margin, _ in scored:
             if g >= 0 and margin >= LEAST_MARGIN:
@@ -182,22 +181,21 @@ def languages(articles: DataFrame, id_col: str = "id") -> DataFrame:
 
     Null texts, records without a report and texts without a main body give no rows.
     """
-    src = articles.select(F.col(id_col).alias("id"), "url", "raw_html", "clean_text", "language")
-    a, ex = extractor_for(src)
-    sample = bounded_sample(src.where("clean_text <> ''").select("id", "clean_text", "language"), "id", SAMPLE_ARTICLES)
+    src = articles.select(F.col(id_col).cast("bigint").alias("id"), "url", "raw_html", "clean_text", "language")
+    a = persist_table(with_main_lines(src).where(F.size("main") > 0), "main-lines")
     labelled = []
-    for r in sample:
-        lang, flags = normal_label(r["language"]), ex.lines(r["clean_text"], None, None)
-        if lang and flags:
-            labelled.append((lang, [t for t, v in zip(r["clean_text"].split("\n"), flags) if v == 1]))
-    shared = articles.sparkSession.sparkContext.broadcast(Judge(ex, train(labelled)))
+    for r in bounded_sample(a.select("id", "clean_text", "language", "main"), "id", SAMPLE_ARTICLES):
+        lang, lines = normal_label(r["language"]), r["clean_text"].split("\n")
+        if lang:
+            labelled.append((lang, [lines[n - 1] for n in r["main"]]))
+    shared = articles.sparkSession.sparkContext.broadcast(Judge(train(labelled)))  # bounded by the sample
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = shared.value
         for b in batches:
             out = []
-            for i, text, raw, paths, label in zip(*[b.column(c).to_pylist() for c in range(5)]):
-                got = judge.article(text, raw, dict(paths) if paths else None)
+            for i, text, label, main in zip(*[b.column(c).to_pylist() for c in range(4)]):
+                got = judge.article(text, main)
                 if got:
                     out.append((i, 0, label, got[0], got[1]))
                     out += [(i, n, label, lang, c) for n, lang, c in got[2]]
@@ -205,7 +203,7 @@ def languages(articles: DataFrame, id_col: str = "id") -> DataFrame:
             types = [pa.int64(), pa.int32(), pa.string(), pa.string(), pa.float64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["id", "line_no", "label", "lang", "confidence"])
 
-    return a.select(F.col("id").cast("bigint"), "clean_text", "raw_html", "paths", "language").mapInArrow(run, "id bigint, line_no int, label string, lang string, confidence double")
+    return a.select("id", "clean_text", "language", "main").mapInArrow(run, "id bigint, line_no int, label string, lang string, confidence double")
 
 
 def named_language():

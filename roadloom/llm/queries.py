@@ -17,6 +17,10 @@ def p1_text(spark: SparkSession, d: str) -> DataFrame:
     return main_body.main_texts(table(spark, d, "source_article"))
 
 
+def p1_ways(spark: SparkSession, d: str) -> DataFrame:
+    return main_body.ways(table(spark, d, "source_article"))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     found, _ = repeated_lines.repeated(table(spark, d, "source_article"))
     return found.select(F.col("id").alias("article_id"), "line_no")
@@ -93,7 +97,7 @@ def p10_rates(spark: SparkSession, d: str) -> DataFrame:
     return toxicity.source_rates(table(spark, d, "documents"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_text": p1_text, "p4_found": p4_found, "p4_blocks": p4_blocks, "p4_clean": p4_clean, "p5_found": p5_found, "p5_scored": p5_scored, "p5_clusters": p5_clusters, "p6_found": p6_found, "p6_languages": p6_languages, "p7_found": p7_found, "p7_scores": p7_scores, "p8_ids": p8_ids, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_found": p10_found, "p10_scores": p10_scores, "p10_spans": p10_spans, "p10_rates": p10_rates}
+QUERIES = {"p1_found": p1_found, "p1_text": p1_text, "p1_ways": p1_ways, "p4_found": p4_found, "p4_blocks": p4_blocks, "p4_clean": p4_clean, "p5_found": p5_found, "p5_scored": p5_scored, "p5_clusters": p5_clusters, "p6_found": p6_found, "p6_languages": p6_languages, "p7_found": p7_found, "p7_scores": p7_scores, "p8_ids": p8_ids, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_found": p10_found, "p10_scores": p10_scores, "p10_spans": p10_spans, "p10_rates": p10_rates}
 SQL: dict[str, str] = {
     "p4_found": r"""with a as (select id, outlet_name, string_split(clean_text, chr(10)) as l from source_article where clean_text is not null and trim(outlet_name) <> ''),
 x as (select id, outlet_name, lower(regexp_replace(unnest(l), '[^\p{L}\p{M}]+', '', 'g')) as k, unnest(range(1, len(l) + 1)) as line_no from a),

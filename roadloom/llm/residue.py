@@ -200,17 +200,15 @@ class Index:
         most = max(w for i, w in single.items() if self.labels[i] == label)
         return (held[label] / total, label) if most >= LEAST_SINGLE * total else (0.0, "")
 
+    def _is_slot(self, m: re.Match) -> bool:
+        """Whether a marked passage is a window of terms that exemplars of slots hold."""
+        marks, *words = [(self.idf.get(t, self.unknown), t in self.slot_terms) for t in _slot_terms(m)]
+        if not words or all(h or w == 0 for w, h in words):
+            return marks[1]
+        return marks[1] and sum(w for w, h in words if h) >= LEAST_SLOT * sum(w for w, _ in words) > 0
+
     def slots(self, text: str) -> int:
-        """Number of slots: marked passages whose terms are held by exemplars of slots."""
-        n = 0
-        if not _MARK.search(text):
-            return 0
-        for m in _SLOTS.finditer(text):
-            window = _slot_terms(m)
-            weights = [(self.idf.get(t, self.unknown), t in self.slot_terms) for t in window]
-            total = sum(w for w, _ in weights)
-            n += weights[0][1] and (len(weights) == 1 or all(h or w == 0 for w, h in weights[1:]) or sum(w for w, h in weights[1:] if h) >= LEAST_SLOT * (total - weights[0][0]) > 0)
-        return n
+        return sum(map(self._is_slot, _SLOTS.finditer(text))) if _MARK.search(text) else 0
 
     def coverage(self, text: str) -> tuple[float, str]:
         """Share of the text's word characters inside windows of high containment, and their commonest label.
@@ -218,6 +216,8 @@ class Index:
         Windows are passages of WINDOW_TERMS terms within a line; lines of a few terms are taken together.
         """
         total, covered, labels = 0, 0, defaultdict(int)
+        if _MARK.search(text):  # all slots are one term here
+            text = _SLOTS.sub(lambda m: " {{ field }} " if self._is_slot(m) else m.group(0), text)
         weight, unknown = self.idf.get, self.unknown
         for w in windows(text):
             size = sum(map(len, w))

@@ -4,6 +4,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from roadloom.llm import language, main_body, residue, toxicity
 
@@ -23,16 +24,37 @@ def test_general_paths_and_blocks():
 
 def test_words_agree_with_host_paths(spark, articles):
     """On hosts with pure paths the word model, blind to the page, decides lines as the paths do."""
-    src = articles.select("id", "url", "raw_html", "clean_text")
-    a, ex = main_body.extractor_for(src)
-    rows = [r for r in a.where("raw_html <> '' and clean_text is not null").collect() if r["paths"] and "body" in r["paths"].values() and "mixed" not in r["paths"].values()]
-    same = total = 0
-    for r in rows:
-        x, y = ex.lines(r["clean_text"], r["raw_html"], r["paths"]), ex.lines(r["clean_text"], None, None)
-        if x:
-            total += len(x)
-            same += sum(i == j for i, j in zip(x, y))
-    assert total > 2000 and same / total > 0.99
+    a = articles.where("raw_html <> '' and clean_text is not null").select("id", "url", "raw_html", "clean_text")
+    lines, _ = main_body.read_lines(a)
+    rows = lines.where("verdict >= 0").select("id", "line_no", "verdict").collect()
+    text = {r["id"]: r["clean_text"].split("\n") for r in a.select("id", "clean_text").collect()}
+    kinds = main_body.verdicts(main_body.votes(a.withColumn("host", main_body.host(F.col("url"))).select("host", "raw_html")))
+    model = main_body.train(a.withColumn("host", main_body.host(F.col("url"))).select("id", "host", "raw_html"), main_body.path_maps(kinds))
+    said = [(model.classify(text[r["id"]][r["line_no"] - 1]), r["verdict"]) for r in rows]
+    plain = [(c == 0, v == 1) for c, v in said if c != 1]  # a headline may be that of another story
+    assert len(plain) > 2000 and sum(a == b for a, b in plain) / len(plain) > 0.99
+
+
+def test_most_outside_lines_are_decided_by_hosts(spark, articles):
+    n = {(r["main"], r["how"]): r["n_lines"] for r in main_body.ways(articles).collect()}
+    out = {h: k for (m, h), k in n.items() if not m}
+    assert out["path"] + out["host"] > 0.6 * sum(out.values()) and out["host"] > 1000
+
+
+def test_consent_of_a_host(spark):
+    """Lines that a host prints outside its winning paths are outside in its articles without a page, and only there."""
+    para = ["The lorry left the road near the old bridge and two people were taken to hospital, the police said on {}.", "Villagers asked for a barrier at the bend for years, and the office promised one after the rains of {}."]
+    page = "<html><head><title>{t}</title></head><body><nav class='top'>Join our channel {n} now</nav><h1>{t}</h1><div class='story'>{p}</div></body></html>"
+    rows = []
+    for i in range(6):
+        ps = [p.format("day " + "abcdef"[i] * 3) for p in para * 2]
+        rows.append((i, f"https://a.example/{i}", page.format(t=f"Lorry falls at bend {'abcdef'[i]}", n=i, p="".join(f"<p>{p}</p>" for p in ps)), "\n".join(ps)))
+    rows += [(10, "https://www.a.example/x", None, "Two hurt at crossing\nJoin our channel 77 now\n" + para[0].format("Monday")), (11, "https://b.example/x", None, "Join our channel 5 now\n" + para[1].format("May")), (11, "https://a.example/y", "", "Join our channel 5 now"), (12, None, None, "Join our channel")]
+    df = spark.createDataFrame([(*r, "en") for r in rows], "id bigint, url string, raw_html string, clean_text string, language string")
+    got = {(r["id"], r["line_no"]): (r["main"], r["how"]) for r in main_body.decided_lines(df).collect() if r["id"] == 10 and r["line_no"]}
+    assert got[10, 2] == (False, "host") and got[10, 3][1] == "words"
+    ways = [(r["id"], r["how"]) for r in main_body.decided_lines(df).where("how = 'host'").collect()]
+    assert sorted(ways) == [(10, "host"), (11, "host")]
 
 
 def test_odd_articles(spark):
