@@ -107,14 +107,13 @@ FAMILIES: list[tuple[str, str, list[str]]] = [
 
 _WORD = re.compile(r"[^\s.,;:!?|/\\»«•·–—()\[\]{}<>\"'“”‘’।۔،؛=+*#$&%@_~^`-]+")
 _DIGIT = re.compile(r"\d")
-_DIGITS = re.compile(r"\w*\d\w*")
 _PLACE = re.compile(r"(?:/[\w.-]+){2,}|\b(?:[\w-]+\.)+[a-z]{2,}\b")  # a path or host name
 _NAMED = re.compile(r"\b(?:[a-z]+\.)*[A-Z]\w*?[a-z](?:Error|Exception|Warning|Fault)\b|\bIOError\b")  # the class of a program's error
 
 _BODY = r"[^\W\d_][^{}\[\]<>\n]{0,60}?"
 _STRONG = [t.split("field") for label, family, texts in FAMILIES if label == "slot" and family != "named marks" for t in texts]
 #: Marks that tell a field alone, taken from the exemplars, and brackets or signs whose words must tell it.
-_SLOTS = re.compile("|".join(rf"{re.escape(a.strip())}\s*{_BODY}\s*{re.escape(b.strip())}" for a, b in sorted(_STRONG, key=lambda p: -len(p[0]))) + rf"|(?<!\w)(<<|[\[{{<#%])\s?({_BODY})\s?(>>|[\]}}>#%])")
+_SLOTS = re.compile("|".join(rf"{re.escape(a.strip())}\s*{_BODY}\s*{re.escape(b.strip())}" for a, b in sorted(_STRONG, key=lambda p: -len(p[0]))) + rf"|(<<(?<!\w<<)|[\[{{<#%](?<!\w[\[{{<#%]))\s?({_BODY})\s?(>>|[\]}}>#%])")
 _MARK = re.compile(r"[{\[<#%$@]|__|&&")
 _SNAKE = re.compile(r"[A-Za-z]+(?:[_.][A-Za-z]+)+$")
 
@@ -140,7 +139,8 @@ def _words(text: str) -> list[str]:
     s = s.lower()
     if "." in s or "/" in s:
         s = _PLACE.sub(" sitename ", s)
-    return [w[:STEM] for w in _WORD.findall(_DIGITS.sub("0", s) if _DIGIT.search(s) else s)]
+    found = _DIGIT.search
+    return [w[:STEM] for w in _WORD.findall(s)] if not found(s) else ["0" if found(w) else w[:STEM] for w in _WORD.findall(s)]
 
 
 def terms(text: str) -> list[str]:
