@@ -171,7 +171,7 @@ def votes(pages: DataFrame) -> DataFrame:
             cols = list(zip(*rows)) if rows else [[] for _ in range(8)]
             return pa.RecordBatch.from_arrays([pa.array(c, pa.string() if i < 2 else pa.int64()) for i, c in enumerate(cols)], names=[c.split()[0] for c in _VOTES.split(", ")])
 
-        for b in batches:
+        for b in (b.slice(at, AT_ONCE) for b in batches for at in range(0, b.num_rows, AT_ONCE)):
             for h, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 page = Page(raw)
                 score: Counter = Counter()
@@ -322,6 +322,8 @@ class Reader:
         return out
 
 
+#: Articles that are taken out of an Arrow batch at once.
+AT_ONCE = 500
 _LINES = "id bigint, rk bigint, host string, line_no int, h bigint, verdict int, cls int, named boolean, short boolean"
 
 
@@ -345,7 +347,7 @@ def read_lines(articles: DataFrame) -> tuple[DataFrame, DataFrame]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         r = shared.value
         types = [pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.bool_()]
-        for b in batches:
+        for b in (b.slice(at, AT_ONCE) for b in batches for at in range(0, b.num_rows, AT_ONCE)):
             rows = []
             for i, k, h, text, raw, paths in zip(*[b.column(c).to_pylist() for c in range(6)]):
                 got = r.lines(text, raw, dict(paths) if paths else None)

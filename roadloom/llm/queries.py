@@ -23,12 +23,12 @@ def p1_ways(spark: SparkSession, d: str) -> DataFrame:
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     found, _ = repeated_lines.repeated(table(spark, d, "source_article"))
-    return found.select(F.col("id").alias("article_id"), "line_no")
+    return found.select(F.col("id").alias("article_id"), "line_no").distinct()
 
 
 def p4_blocks(spark: SparkSession, d: str) -> DataFrame:
     _, b = repeated_lines.repeated(table(spark, d, "source_article"))
-    return b.groupBy(F.col("src").alias("outlet_name"), "block").agg(F.count(F.lit(1)).alias("n_lines"), F.max("support").alias("top_support"))
+    return b.groupBy(F.col("src").alias("outlet_name"), "block").agg(F.count(F.lit(1)).alias("n_lines"), F.max("support").alias("top_support")).drop("block")
 
 
 def p4_clean(spark: SparkSession, d: str) -> DataFrame:
@@ -98,10 +98,16 @@ def p10_rates(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {"p1_found": p1_found, "p1_text": p1_text, "p1_ways": p1_ways, "p4_found": p4_found, "p4_blocks": p4_blocks, "p4_clean": p4_clean, "p5_found": p5_found, "p5_scored": p5_scored, "p5_clusters": p5_clusters, "p6_found": p6_found, "p6_languages": p6_languages, "p7_found": p7_found, "p7_scores": p7_scores, "p8_ids": p8_ids, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_found": p10_found, "p10_scores": p10_scores, "p10_spans": p10_spans, "p10_rates": p10_rates}
-SQL: dict[str, str] = {
-    "p4_found": r"""with a as (select id, outlet_name, string_split(clean_text, chr(10)) as l from source_article where clean_text is not null and trim(outlet_name) <> ''),
+_LINES = r"""a as (select id, outlet_name, string_split(clean_text, chr(10)) as l from source_article where clean_text is not null and trim(outlet_name) <> ''),
 x as (select id, outlet_name, lower(regexp_replace(unnest(l), '[^\p{L}\p{M}]+', '', 'g')) as k, unnest(range(1, len(l) + 1)) as line_no from a),
-y as (select * from x where regexp_matches(k, '\p{L}')), n as (select outlet_name, count(distinct id) as n from a group by 1),
-s as (select outlet_name, k, count(distinct id) as c from y group by 1, 2)
-select y.id as article_id, cast(y.line_no as int) as line_no from y join s using (outlet_name, k) join n using (outlet_name) where s.c >= 5 and s.c * 100 >= 6 * n.n""",
+y as (select *, row_number() over (partition by id order by line_no) as seq from x where regexp_matches(k, '\p{L}')), n as (select outlet_name, count(distinct id) as n from a group by 1),
+s as (select outlet_name, k, count(distinct id) as c from y group by 1, 2), hi as (select outlet_name, k, c, n from s join n using (outlet_name) where c >= 5 and c * 100 >= 6 * n)"""
+SQL: dict[str, str] = {
+    "p4_found": f"with {_LINES} select y.id as article_id, cast(y.line_no as int) as line_no from y join hi using (outlet_name, k)",
+    "p4_clean": f"""with {_LINES}, cut as (select y.id, list(y.line_no) as c from y join hi using (outlet_name, k) group by 1)
+select s.id, case when c is null then clean_text else array_to_string(list_filter(string_split(clean_text, chr(10)), lambda v, i: not list_contains(c, i)), chr(10)) end as text, coalesce(len(c), 0) as removed from source_article s left join cut using (id)""",
+    "p4_blocks": f"""with recursive {_LINES}, f as (select y.*, h.n from y join hi h using (outlet_name, k)), st as (select distinct p.outlet_name, p.n, p.id, p.k as a, q.k as b from f p join f q on q.id = p.id and q.seq = p.seq + 1),
+e as (select outlet_name, a, b from st group by outlet_name, n, a, b having count(*) >= 5 and count(*) * 100 >= 6 * n), u as (select * from e union select outlet_name, b, a from e),
+w(outlet_name, k, l) as (select outlet_name, k, k from hi union select w.outlet_name, u.b, w.l from w join u on u.outlet_name = w.outlet_name and u.a = w.k where w.l < u.b),
+c as (select outlet_name, k, min(l) as block from w group by 1, 2) select outlet_name, count(*) as n_lines, max(hi.c) as top_support from c join hi using (outlet_name, k) group by outlet_name, block""",
 }

@@ -31,15 +31,16 @@ def _hash(key: Column) -> Column:
 
 
 def keyed_lines(docs: DataFrame, id_col: str, source_col: str, text_col: str) -> DataFrame:
-    """(id, src, line_no, seq, h): lines with letters, numbered from 1 in the text and by seq among themselves.
+    """(id, th, src, line_no, seq, h): lines with letters, numbered from 1 in the text and by seq among themselves; th tells the
+    texts of one id apart.
 
     Null texts, null or blank sources, empty lines and lines without letters give no rows.
     """
-    d = docs.where(F.col(text_col).isNotNull() & (F.trim(F.col(source_col)) != "")).select(F.col(id_col).alias("id"), F.col(source_col).alias("src"), F.split(text_col, "\n").alias("_l"))
+    d = docs.where(F.col(text_col).isNotNull() & (F.trim(F.col(source_col)) != "")).select(F.col(id_col).alias("id"), _hash(F.col(text_col)).alias("th"), F.col(source_col).alias("src"), F.split(text_col, "\n").alias("_l"))
     keys = F.transform("_l", lambda x, i: F.struct((i + 1).alias("line_no"), line_key(x).alias("k")))
     kept = F.filter(keys, lambda s: s["k"].rlike(r"\p{L}"))
-    d = d.select("id", "src", F.posexplode(kept).alias("seq", "s"))
-    return d.select("id", "src", F.col("s.line_no").alias("line_no"), "seq", _hash(F.col("s.k")).alias("h"))
+    d = d.select("id", "th", "src", F.posexplode(kept).alias("seq", "s"))
+    return d.select("id", "th", "src", F.col("s.line_no").alias("line_no"), "seq", _hash(F.col("s.k")).alias("h"))
 
 
 def _components(nodes: pa.Table) -> pa.Table:
@@ -75,7 +76,7 @@ def blocks(lines: DataFrame, docs_per_source: DataFrame, least_docs: int = LEAST
     high = support.where(F.col("support") >= least_docs).join(docs_per_source, "src").where(F.col("support") * 100 >= F.col("n_docs") * least_percent)
     high = persist_table(high.select("src", "h", "support", "n_docs"), "repeated-lines")
     inside = lines.join(high.select("src", "h", "n_docs"), ["src", "h"])
-    by_doc = Window.partitionBy("src", "id").orderBy("seq")
+    by_doc = Window.partitionBy("src", "id", "th").orderBy("seq")
     step = inside.select("src", "id", "n_docs", "h", F.lead("h").over(by_doc).alias("next"), (F.lead("seq").over(by_doc) - F.col("seq")).alias("gap")).where("gap = 1")
     edges = step.select("src", "n_docs", "id", "h", "next").distinct().groupBy("src", "n_docs", "h", "next").agg(F.count(F.lit(1)).alias("e"))
     edges = edges.where((F.col("e") >= least_docs) & (F.col("e") * 100 >= F.col("n_docs") * least_percent)).groupBy("src", "h").agg(F.collect_list("next").alias("nexts"))
@@ -84,20 +85,23 @@ def blocks(lines: DataFrame, docs_per_source: DataFrame, least_docs: int = LEAST
 
 
 def repeated(docs: DataFrame, id_col: str = "id", source_col: str = "outlet_name", text_col: str = "clean_text") -> tuple[DataFrame, DataFrame]:
-    """(occurrences, blocks): occurrences (id, line_no, src, block) of the lines of boilerplate blocks.
+    """(occurrences, blocks): occurrences (id, th, line_no, src, block) of the lines of boilerplate blocks.
 
     Repeated rows of one id are one document; two different texts under one id both count towards its lines.
     """
     lines = persist_table(keyed_lines(docs, id_col, source_col, text_col), "keyed-lines")
     per = docs.where(F.col(text_col).isNotNull() & (F.trim(F.col(source_col)) != "")).select(F.col(source_col).alias("src"), F.col(id_col).alias("id")).distinct().groupBy("src").agg(F.count(F.lit(1)).alias("n_docs"))
     b = persist_table(blocks(lines, per), "line-blocks")
-    return lines.join(b.select("src", "h", "block"), ["src", "h"]).select("id", "line_no", "src", "block").distinct(), b
+    return lines.join(b.select("src", "h", "block"), ["src", "h"]).select("id", "th", "line_no", "src", "block").distinct(), b
 
 
 def without_repeated(docs: DataFrame, id_col: str = "id", source_col: str = "outlet_name", text_col: str = "clean_text") -> DataFrame:
-    """(id, text, removed): each text without the lines its source repeats; null texts stay null."""
+    """(id, text, removed): each text without the lines its source repeats; null texts stay null.
+
+    Lines are cut out of the very text they were found in, also where one id has several texts or sources.
+    """
     found, _ = repeated(docs, id_col, source_col, text_col)
-    cut = found.groupBy("id").agg(F.collect_set("line_no").alias("_cut"))
-    j = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("_t")).join(cut, "id", "left")
+    cut = found.groupBy("id", "th", "src").agg(F.collect_set("line_no").alias("_cut"))
+    j = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("_t"), _hash(F.col(text_col)).alias("th"), F.col(source_col).alias("src")).join(cut, ["id", "th", "src"], "left")
     kept = F.filter(F.split("_t", "\n"), lambda x, i: ~F.array_contains(F.col("_cut"), i + 1))
     return j.select("id", F.when(F.col("_cut").isNull(), F.col("_t")).otherwise(F.array_join(kept, "\n")).alias("text"), F.coalesce(F.size("_cut"), F.lit(0)).alias("removed"))

@@ -53,6 +53,39 @@ def test_repeated_lines(spark):
     assert repeated_lines.repeated(none)[0].count() == 0
 
 
+def test_two_texts_under_one_id(spark):
+    """Each text loses the repeated line where it stands in it, and nothing else."""
+    rows = [(i, "A", f"story {'abcdefgh'[i]}\nFollow us") for i in range(8)] + [(50, "A", "Follow us 1\nunique one"), (50, "A", "unique two\nFollow us"), (50, "B", "unique two\nFollow us")]
+    df = spark.createDataFrame(rows, "id bigint, outlet_name string, clean_text string")
+    got = sorted((r["text"], r["removed"]) for r in repeated_lines.without_repeated(df).where("id = 50").collect())
+    assert got == [("unique one", 1), ("unique two", 1), ("unique two\nFollow us", 0)]
+
+
+def test_edges_make_blocks(spark):
+    """Lines that stand together are one block; apart, with unique lines between, they are two."""
+    together = [(i, "A", f"x {'abcdefgh'[i]}\nFollow us\nLegal note") for i in range(8)]
+    apart = [(20 + i, "B", f"Follow us\nx {'abcdefgh'[i]}\nLegal note") for i in range(8)]
+    df = spark.createDataFrame(together + apart, "id bigint, outlet_name string, clean_text string")
+    n = {(r["src"], r["block"]) for r in repeated_lines.repeated(df)[1].collect()}
+    assert len([1 for s, _ in n if s == "A"]) == 1 and len([1 for s, _ in n if s == "B"]) == 2
+
+
+def test_queries_like_sql(spark, data):
+    import glob
+    import os
+
+    import duckdb
+
+    con = duckdb.connect()
+    for p in glob.glob(f"{data}/*.parquet"):
+        con.execute(f"create view {os.path.basename(p)[:-8]} as select * from '{p}'")
+    for name, sql in queries.SQL.items():
+        df = queries.QUERIES[name](spark, data)
+        got = con.execute(sql)
+        order = [c[0] for c in got.description]
+        assert sorted(map(repr, map(tuple, df.select(*order).collect()))) == sorted(map(repr, got.fetchall())), name
+
+
 def test_page_keys(spark):
     same = ["https://a.example/x/1", "http://www.A.example/x/1/", "https://m.a.example/x/1/amp", "https://amp.a.example/x/1?utm_source=q#top", "https://a.example/x/1/amp?ref=rss&fbclid=1"]
     other = ["https://a.example/x/2", "https://a.example/X/1", "https://a.example/x/1?id=1", "", None, "  "]
