@@ -301,8 +301,8 @@ class Reader:
         self.model, self.index = model, index
 
     def lines(self, text: str | None, raw: str | None, paths: dict[str, str] | None) -> list[tuple] | None:
-        """(line_no, h, path verdict or -1, class by words, is the title, is short) of each line with a letter; None for null texts
-        and records without a report."""
+        """(line_no, h, path verdict or -1, class by words, is the title, is short) of each line with a letter, h and class only where
+        there is no verdict; None for null texts and records without a report."""
         if text is None or self.index.coverage(text)[0] >= residue.LEAST_COVERAGE:
             return None
         sure: dict[str, int] = {}
@@ -318,7 +318,7 @@ class Reader:
             if _LETTER.search(line):
                 v = sure.get(key(line), -1) if sure else -1
                 named = v < 0 and bool(title) and is_title(" ".join(line.split()), title)
-                out.append((n, line_hash(line), v, self.model.classify(line) if v < 0 else 3, named, bool(sure) and v == 1 and not is_sentence(line)))
+                out.append((n, line_hash(line) if v < 0 else None, v, self.model.classify(line) if v < 0 else 3, named, bool(sure) and v == 1 and not is_sentence(line)))
         return out
 
 

@@ -106,7 +106,7 @@ FAMILIES: list[tuple[str, str, list[str]]] = [
 ]
 
 _WORD = re.compile(r"[^\s.,;:!?|/\\»«•·–—()\[\]{}<>\"'“”‘’।۔،؛=+*#$&%@_~^`-]+")
-_DIGIT = re.compile(r"\d")
+_DIGIT = re.compile(r"\d+")
 _PLACE = re.compile(r"(?:/[\w.-]+){2,}|\b(?:[\w-]+\.)+[a-z]{2,}\b")  # a path or host name
 _NAMED = re.compile(r"\b(?:[a-z]+\.)*[A-Z]\w*?[a-z](?:Error|Exception|Warning|Fault)\b|\bIOError\b")  # the class of a program's error
 
@@ -139,8 +139,9 @@ def _words(text: str) -> list[str]:
     s = s.lower()
     if "." in s or "/" in s:
         s = _PLACE.sub(" sitename ", s)
-    found = _DIGIT.search
-    return [w[:STEM] for w in _WORD.findall(s)] if not found(s) else ["0" if found(w) else w[:STEM] for w in _WORD.findall(s)]
+    if _DIGIT.search(s):
+        return ["0" if "0" in w else w[:STEM] for w in _WORD.findall(_DIGIT.sub("0", s))]
+    return [w[:STEM] for w in _WORD.findall(s)]
 
 
 def terms(text: str) -> list[str]:
