@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import re
+import functools
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -38,7 +38,9 @@ def claims(links: DataFrame, articles: DataFrame, vocabulary: dict[str, list[str
     """(incident_id, defect_type, confidence, source_id): the defects that the articles (id, clean_text) of incidents (incident_id,
     source_article_id, match_confidence) name, with the link's confidence.  Null texts name none."""
     text = F.lower("clean_text")
-    codes = F.array_compact(F.array(*[F.when(text.rlike("|".join(re.escape(t).replace("\\ ", " ") for t in terms)), code) for code, terms in vocabulary.items()]))
+    any_of = lambda terms: functools.reduce(lambda a, b: a | b, [F.contains(text, F.lit(t)) for t in terms])
+    codes = F.array_compact(F.array(*[F.when(any_of(terms), code) for code, terms in vocabulary.items()]))
+    codes = F.when(F.spark_partition_id() >= 0, codes)  # non-deterministic: keeps the search from being repeated in a filter
     named = articles.where("clean_text is not null").select(F.col("id").alias("source_article_id"), F.explode(codes).alias("defect_type"))
     return links.join(named, "source_article_id").select("incident_id", "defect_type", F.col("match_confidence").alias("confidence"), F.col("source_article_id").alias("source_id"))
 

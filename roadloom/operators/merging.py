@@ -30,11 +30,14 @@ def _in_order(pairs: pa.Table) -> pa.Table:
 def greedy_merges(pairs: DataFrame, component_pairs: int = COMPONENT_PAIRS) -> DataFrame:
     """(keep, merge): the pairs that a pass in order of (keep, merge) executes, skipping pairs with an id merged before.
 
-    Pairs of different components do not depend on each other, so each component is passed through in a task of its own.
+    Up to component_pairs pairs are passed through in one task.  Of more, pairs of different components do not depend on each
+    other, so each component is passed through in a task of its own.
     A component of more than component_pairs pairs is decided in rounds instead: a pair once no earlier open pair can still
     merge one of its ids away.  Both ways give the same pairs; null ids and pairs of an id with itself are left out.
     """
     p = persist_table(pairs.select(F.col("keep").cast("bigint"), F.col("merge").cast("bigint")).where("keep <> merge").distinct(), "pairs")
+    if p.count() <= component_pairs:
+        return persist_table(p.groupBy(F.lit("all")).applyInArrow(_in_order, "keep bigint, merge bigint"), "merges")
     label = connected_components(p.select(F.col("keep").alias("a"), F.col("merge").alias("b"))).select(F.col("node").alias("keep"), "component")
     p = persist_table(p.join(label, "keep"), "pairs")
     large = p.groupBy("component").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > component_pairs).select("component")
